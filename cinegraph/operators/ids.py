@@ -1,13 +1,15 @@
 """Dense, zero-based ids in a given order, without a single-task window.
 
-A global ``row_number()`` moves every row into one partition.  Instead rows are
-range-partitioned on the order key and sorted inside each partition; the
-partition index and the position inside it are read off
-``monotonically_increasing_id`` (partition index in the upper 31 bits, position in
-the lower 33).  That layout is frozen by writing it to the shared checkpoint folder
-(range sampling must not be re-run by a retried or re-planned stage), then each
-row gets ``offset(partition) + position``.  The offsets table has one row per
-partition, a bound we set ourselves, so broadcasting it is safe.
+A global ``row_number()`` moves every row into one partition, and a window per
+group moves a whole hot group into one task.  Instead rows are range-partitioned
+on (group, order) -- which also splits a hot group over several partitions -- and
+sorted inside each partition.  The partition index and the position inside it are
+read off ``monotonically_increasing_id`` (partition index in the upper 31 bits,
+position in the lower 33).  That layout is frozen by writing it to the shared
+checkpoint folder (range sampling must not be re-run by a retried or re-planned
+stage).  Each row then gets offset(group, partition) + position - first position
+of its group in that partition.  Without a group the offsets table has one row per
+partition, a bound we set ourselves, so it is broadcast.
 """
 
 from __future__ import annotations
@@ -25,25 +27,29 @@ def _as_cols(order) -> list[Column]:
 
 
 def dense_index(df: DataFrame, order, out: str = "id", num_partitions: int | None = None,
-                start: int = 0) -> DataFrame:
-    """Add column ``out`` = start, start+1, ... following ``order`` (a total order).
+                start: int = 0, group=None) -> DataFrame:
+    """Add column ``out`` = start, start+1, ... following ``order`` (a total order
+    inside each group); numbering restarts per ``group`` (list of column names).
 
     Runs one job (range sample + write); the result reads the written table.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = _as_cols(order)
+    group = list(group or [])
+    cols = _as_cols(group) + _as_cols(order)
     staged = (df.repartitionByRange(n, *cols)
                 .sortWithinPartitions(*cols)
                 .withColumn("_ix", F.monotonically_increasing_id()))
     path = scratch_path(spark, "dense-index")
     staged.write.mode("overwrite").parquet(path)
-    frozen = spark.read.schema(staged.schema).parquet(path)
-    part = F.shiftright(F.col("_ix"), _POS_BITS)
-    pos = F.col("_ix").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
-    counts = frozen.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (frozen.join(F.broadcast(offsets), part == F.col("_p"))
-                  .withColumn(out, F.col("_off") + pos + F.lit(start))
-                  .drop("_ix", "_p", "_off"))
+    frozen = (spark.read.schema(staged.schema).parquet(path)
+                   .withColumn("_p", F.shiftright(F.col("_ix"), _POS_BITS))
+                   .withColumn("_q", F.col("_ix").bitwiseAND(F.lit((1 << _POS_BITS) - 1))))
+    stats = frozen.groupBy("_p", *group).agg(F.count(F.lit(1)).alias("_n"), F.min("_q").alias("_first"))
+    before = Window.partitionBy(*group).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = stats.select("_p", *group, "_first",
+                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    if not group:
+        offsets = F.broadcast(offsets)
+    joined = frozen.join(offsets, ["_p", *group])
+    return joined.select(*df.columns, (F.col("_off") + F.col("_q") - F.col("_first") + F.lit(start)).alias(out))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from .oracle_fixtures import (FX_ACTOR, FX_BRIDGE, FX_ITEM, FX_LATEST, FX_RATING, with_ctes)
+from .oracle_fixtures import (FX_ACTOR, FX_BRIDGE, FX_ITEM, FX_LATEST, FX_MOVIE_RAW, FX_RATING,
+                              with_ctes)
 
 ORACLE: dict[str, str] = {}
 
@@ -39,3 +40,48 @@ ORACLE["top_popular"] = with_ctes(FX_ITEM) + """
 SELECT rnk AS rank, mid, rating FROM (
   SELECT id AS mid, rating, row_number() OVER (ORDER BY rating DESC, id) AS rnk FROM fx_item) t
 WHERE rnk <= 50"""
+
+# ---- C1 catalog -------------------------------------------------------------
+_CATALOG = with_ctes(FX_MOVIE_RAW, """
+first_rows AS (SELECT row_ord, name, actor, district, director, rating FROM (
+    SELECT *, row_number() OVER (PARTITION BY name ORDER BY row_ord) AS rn FROM fx_movie_raw) t WHERE rn = 1),
+movies AS (SELECT *, row_number() OVER (ORDER BY row_ord) - 1 AS mid FROM first_rows),
+district_ids AS (SELECT district AS name, row_number() OVER (ORDER BY min(row_ord)) - 1 AS id
+                 FROM movies GROUP BY district),
+actor_occ AS (SELECT m.mid, m.row_ord, t.pos - 1 AS pos, t.pname FROM movies m,
+    unnest(list_filter(string_split(coalesce(m.actor, ''), '|'), lambda x: x <> '')) WITH ORDINALITY AS t(pname, pos)),
+director_occ AS (SELECT m.mid, m.row_ord, t.pos - 1 AS pos, t.pname FROM movies m,
+    unnest(list_filter(string_split(coalesce(m.director, ''), '|'), lambda x: x <> '')) WITH ORDINALITY AS t(pname, pos)),
+actor_ids AS (SELECT pname AS name, row_number() OVER (ORDER BY row_ord, pos) - 1 AS id FROM (
+    SELECT *, row_number() OVER (PARTITION BY pname ORDER BY row_ord, pos) AS rn FROM actor_occ) t WHERE rn = 1),
+director_ids AS (SELECT pname AS name, row_number() OVER (ORDER BY row_ord, pos) - 1 AS id FROM (
+    SELECT *, row_number() OVER (PARTITION BY pname ORDER BY row_ord, pos) AS rn FROM director_occ) t WHERE rn = 1),
+movie_actor AS (SELECT o.mid, o.pos, a.id AS aid FROM actor_occ o JOIN actor_ids a ON a.name = o.pname),
+movie_director AS (SELECT o.mid, o.pos, d.id AS did FROM director_occ o JOIN director_ids d ON d.name = o.pname),
+genre_ids AS (SELECT genre AS name, row_number() OVER (ORDER BY min(row_ord)) - 1 AS id FROM fx_movie_raw GROUP BY genre),
+trait_ids AS (SELECT trait AS name, row_number() OVER (ORDER BY min(row_ord)) - 1 AS id FROM fx_movie_raw GROUP BY trait),
+movie_genre AS (SELECT DISTINCT m.mid, g.id AS gid FROM fx_movie_raw r JOIN movies m ON m.name = r.name
+                JOIN genre_ids g ON g.name = r.genre),
+movie_trait AS (SELECT DISTINCT m.mid, g.id AS tid FROM fx_movie_raw r JOIN movies m ON m.name = r.name
+                JOIN trait_ids g ON g.name = r.trait),
+b_actor AS (SELECT DISTINCT aid AS id, mid FROM movie_actor),
+b_director AS (SELECT DISTINCT did AS id, mid FROM movie_director),
+b_genre AS (SELECT gid AS id, mid FROM movie_genre),
+b_trait AS (SELECT tid AS id, mid FROM movie_trait),
+b_district AS (SELECT d.id, m.mid FROM movies m JOIN district_ids d ON d.name = m.district)
+""")
+
+ORACLE["catalog_movie"] = _CATALOG + """
+SELECT m.mid AS id, m.name,
+  coalesce((SELECT string_agg(CAST(gid AS VARCHAR), ',' ORDER BY gid) FROM movie_genre x WHERE x.mid = m.mid), '') AS genres,
+  coalesce((SELECT string_agg(CAST(aid AS VARCHAR), ',' ORDER BY pos) FROM movie_actor x WHERE x.mid = m.mid), '') AS actors,
+  d.id AS district,
+  coalesce((SELECT string_agg(CAST(did AS VARCHAR), ',' ORDER BY pos) FROM movie_director x WHERE x.mid = m.mid), '') AS directors,
+  coalesce((SELECT string_agg(CAST(tid AS VARCHAR), ',' ORDER BY tid) FROM movie_trait x WHERE x.mid = m.mid), '') AS traits,
+  m.rating
+FROM movies m LEFT JOIN district_ids d ON d.name = m.district"""
+
+for _dim in ("actor", "director", "genre", "district", "trait"):
+    ORACLE[f"catalog_{_dim}"] = _CATALOG + f"""
+SELECT n.id, n.name, row_number() OVER (PARTITION BY n.id ORDER BY m.rating DESC, m.mid) - 1 AS pos, m.mid
+FROM b_{_dim} b JOIN {_dim}_ids n ON n.id = b.id JOIN movies m ON m.mid = b.mid"""

@@ -12,7 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions.lists import join_list
 from .operators.latest import latest_per_key
+from .plans import catalog as cg
 from .plans import recall as rc
 from .sources import driver_tables as dt
 
@@ -61,5 +63,27 @@ def q_top_popular(spark, sf_dir):
     return ranked.where(F.col("rank") <= 50).select("rank", "mid", "rating")
 
 
+def fixture_catalog(spark: SparkSession, sf_dir: str) -> cg.Catalog:
+    return cg.build_catalog(dt.fx_movie_raw(spark, sf_dir))
+
+
+@query("catalog_movie")
+def q_catalog_movie(spark, sf_dir):
+    m = cg.movie_table(fixture_catalog(spark, sf_dir))
+    return m.select("id", "name", *[join_list(c, ",").alias(c) for c in ("genres", "actors")],
+                    "district", *[join_list(c, ",").alias(c) for c in ("directors", "traits")], "rating")
+
+
+def _dimension_query(dim):
+    def run(spark, sf_dir):
+        return cg.dimension_rows(fixture_catalog(spark, sf_dir), dim)
+    run.__name__ = f"q_catalog_{dim}"
+    return run
+
+
+for _dim in cg.DIMENSIONS:
+    query(f"catalog_{_dim}")(_dimension_query(_dim))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_recall(spark, sf_dir)

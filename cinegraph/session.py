@@ -61,3 +61,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/cinegraph/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once to the shared checkpoint folder and read it back: cuts the
+    lineage (a lost executor re-reads the files instead of re-running the plan) and
+    lets several consumers share one computation."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
