@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .oracle_fixtures import (FX_ACTOR, FX_BRIDGE, FX_ITEM, FX_LATEST, FX_MOVIE_RAW, FX_RATING,
+                              FX_RATING_RAW,
                               with_ctes)
 
 ORACLE: dict[str, str] = {}
@@ -85,3 +86,30 @@ for _dim in ("actor", "director", "genre", "district", "trait"):
     ORACLE[f"catalog_{_dim}"] = _CATALOG + f"""
 SELECT n.id, n.name, row_number() OVER (PARTITION BY n.id ORDER BY m.rating DESC, m.mid) - 1 AS pos, m.mid
 FROM b_{_dim} b JOIN {_dim}_ids n ON n.id = b.id JOIN movies m ON m.mid = b.mid"""
+
+# ---- C2 interactions --------------------------------------------------------
+_INTERACTIONS = _CATALOG + """,
+""" + FX_RATING_RAW + """,
+resolved AS (SELECT r.row_ord, r.name AS uname, m.mid, r.time, r.rating
+             FROM fx_rating_raw r JOIN movies m ON m.name = r.movie),
+users AS (SELECT uname AS name, row_number() OVER (ORDER BY min(row_ord)) - 1 AS id FROM resolved GROUP BY uname),
+firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uname, mid ORDER BY row_ord) AS rn
+                          FROM resolved) t WHERE rn = 1),
+rating AS (SELECT row_number() OVER (ORDER BY f.row_ord) - 1 AS id, u.id AS uid, f.mid, f.time, f.rating
+           FROM firsts f JOIN users u ON u.name = f.uname)
+"""
+
+ORACLE["interactions_rating"] = _INTERACTIONS + "SELECT id, uid, mid, time, rating FROM rating"
+ORACLE["interactions_user"] = _INTERACTIONS + """
+SELECT u.id, u.name, row_number() OVER (PARTITION BY u.id ORDER BY m.rating DESC, m.mid) - 1 AS pos, m.mid
+FROM (SELECT DISTINCT uid, mid FROM rating) r JOIN users u ON u.id = r.uid JOIN movies m ON m.mid = r.mid"""
+ORACLE["rating_rejects"] = _INTERACTIONS + """
+SELECT r.rating, r.name, r.time, r.uid, r.movie FROM fx_rating_raw r
+WHERE NOT EXISTS (SELECT 1 FROM movies m WHERE m.name = r.movie)"""
+ORACLE["etl_summary"] = _INTERACTIONS + """
+SELECT 'movies' AS entity, count(*) AS n FROM movies
+UNION ALL SELECT 'directors', count(*) FROM director_ids
+UNION ALL SELECT 'actors', count(*) FROM actor_ids
+UNION ALL SELECT 'users', count(*) FROM users
+UNION ALL SELECT 'ratings', count(*) FROM rating
+UNION ALL SELECT 'csv_rows', count(*) FROM fx_rating_raw"""

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .functions.lists import join_list
 from .operators.latest import latest_per_key
 from .plans import catalog as cg
+from .plans import interactions as it
 from .plans import recall as rc
 from .sources import driver_tables as dt
 
@@ -85,5 +86,40 @@ for _dim in cg.DIMENSIONS:
     query(f"catalog_{_dim}")(_dimension_query(_dim))
 
 
+def fixture_interactions(spark: SparkSession, sf_dir: str, cat: cg.Catalog | None = None):
+    cat = cat or fixture_catalog(spark, sf_dir)
+    return cat, it.build_interactions(dt.fx_rating_raw(spark, sf_dir), cat.movie)
+
+
+@query("interactions_rating")
+def q_interactions_rating(spark, sf_dir):
+    return fixture_interactions(spark, sf_dir)[1].rating
+
+
+@query("interactions_user")
+def q_interactions_user(spark, sf_dir):
+    cat, inter = fixture_interactions(spark, sf_dir)
+    return it.user_rows(inter, cat.movie)
+
+
+@query("rating_rejects")
+def q_rating_rejects(spark, sf_dir):
+    _, inter = fixture_interactions(spark, sf_dir)
+    return inter.rejects.select("rating", "name", "time", "uid", "movie")
+
+
+@query("etl_summary")
+def q_etl_summary(spark, sf_dir):
+    """The ETL's closing counts, one row per entity (plus raw CSV rows)."""
+    cat, inter = fixture_interactions(spark, sf_dir)
+    parts = [("movies", cat.movie), ("directors", cat.names["director"]), ("actors", cat.names["actor"]),
+             ("users", inter.user), ("ratings", inter.rating), ("csv_rows", dt.fx_rating_raw(spark, sf_dir))]
+    frames = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("entity"), "n") for k, df in parts]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_recall(spark, sf_dir)
