@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .oracle_fixtures import (FX_ACTOR, FX_BRIDGE, FX_ITEM, FX_LATEST, FX_MOVIE_RAW, FX_RATING,
+from .oracle_fixtures import (FX_ACTOR, FX_BRIDGE, FX_EVENT, FX_ITEM, FX_LATEST, FX_MOVIE_RAW, FX_RATING,
                               FX_RATING_RAW,
                               with_ctes)
 
@@ -113,3 +113,61 @@ UNION ALL SELECT 'actors', count(*) FROM actor_ids
 UNION ALL SELECT 'users', count(*) FROM users
 UNION ALL SELECT 'ratings', count(*) FROM rating
 UNION ALL SELECT 'csv_rows', count(*) FROM fx_rating_raw"""
+
+# ---- C3-C7 serving ----------------------------------------------------------
+_SERVING = _INTERACTIONS + """,
+latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uid, mid ORDER BY time DESC, id DESC) AS rn
+                          FROM rating) t WHERE rn = 1)
+"""
+
+
+def _names(bridge, ids, idcol, order):
+    return (f"coalesce((SELECT string_agg(n.name, '|' ORDER BY {order}) FROM {bridge} x "
+            f"JOIN {ids} n ON n.id = x.{idcol} WHERE x.mid = m.mid), '')")
+
+
+ORACLE["movie_detail"] = _SERVING + f"""
+SELECT m.mid AS id, m.name, m.rating, d.name AS district,
+  {_names('movie_actor', 'actor_ids', 'aid', 'x.pos, x.aid')} AS actors,
+  {_names('movie_director', 'director_ids', 'did', 'x.pos, x.did')} AS directors,
+  {_names('movie_trait', 'trait_ids', 'tid', 'n.id')} AS traits,
+  {_names('movie_genre', 'genre_ids', 'gid', 'n.id')} AS genres
+FROM movies m LEFT JOIN district_ids d ON d.name = m.district"""
+
+ORACLE["movies_by_request"] = _CATALOG + "," + FX_EVENT + """
+SELECT m.mid AS id, m.name, d.id AS district, m.rating
+FROM movies m LEFT JOIN district_ids d ON d.name = m.district
+WHERE m.mid IN (SELECT mid FROM fx_event)"""
+
+ORACLE["my_rating"] = _SERVING + "," + FX_EVENT + """
+SELECT q.uid, q.mid, CAST(coalesce(l.rating, 0) AS BIGINT) AS myrating,
+       CAST(coalesce(l.rating, 0) * 10 AS BIGINT) AS stars
+FROM (SELECT uid, mid FROM fx_event UNION SELECT uid, mid FROM rating) q
+LEFT JOIN latest l ON l.uid = q.uid AND l.mid = q.mid"""
+
+for _dim in ("actor", "director"):
+    ORACLE[f"person_page_{_dim}"] = _CATALOG + f"""
+SELECT n.id, n.name, row_number() OVER (PARTITION BY n.id ORDER BY m.rating DESC, m.mid) - 1 AS pos, m.mid,
+       m.name AS movie, m.rating
+FROM b_{_dim} b JOIN {_dim}_ids n ON n.id = b.id JOIN movies m ON m.mid = b.mid"""
+
+ORACLE["user_history"] = _SERVING + """
+SELECT l.uid, u.name AS "user", row_number() OVER (PARTITION BY l.uid ORDER BY l.time DESC, l.mid) - 1 AS pos,
+       l.mid, m.name AS movie, l.time, strftime(l.time, '%Y-%m-%d %H:%M') AS time_text, l.rating
+FROM latest l JOIN users u ON u.id = l.uid JOIN movies m ON m.mid = l.mid"""
+
+
+def _paged(src, cols):
+    return f"""
+SELECT CAST(floor(id / 20) AS BIGINT) AS page, id, {cols},
+       floor(id / 20) > 0 AS has_prev,
+       count(*) OVER (PARTITION BY CAST(floor(id / 20) AS BIGINT)) = 20 AS has_next
+FROM {src}"""
+
+
+ORACLE["page_movies"] = _CATALOG + _paged("(SELECT mid AS id, name, rating FROM movies) t", "name, rating")
+ORACLE["page_users"] = _INTERACTIONS + _paged("users", "name")
+ORACLE["home"] = _CATALOG + """
+SELECT 'movie' AS kind, mid AS id, name FROM movies WHERE mid < 4
+UNION ALL SELECT 'actor', id, name FROM actor_ids WHERE id < 4
+UNION ALL SELECT 'director', id, name FROM director_ids WHERE id < 4"""

@@ -16,6 +16,7 @@ from .functions.lists import join_list
 from .operators.latest import latest_per_key
 from .plans import catalog as cg
 from .plans import interactions as it
+from .plans import serving as sv
 from .plans import recall as rc
 from .sources import driver_tables as dt
 
@@ -121,5 +122,63 @@ def q_etl_summary(spark, sf_dir):
     return out
 
 
+@query("movie_detail")
+def q_movie_detail(spark, sf_dir):
+    return sv.movie_detail(fixture_catalog(spark, sf_dir))
+
+
+@query("movies_by_request")
+def q_movies_by_request(spark, sf_dir):
+    """movies named by the event feed's requests (semi join, no IN list)."""
+    cat = fixture_catalog(spark, sf_dir)
+    return sv.lookup(cat.movie, dt.fx_event(spark, sf_dir), "id", "mid")
+
+
+@query("my_rating")
+def q_my_rating(spark, sf_dir):
+    """F5/W1/X7 for requested (uid, mid) pairs: the event feed's pairs and every rated pair."""
+    _, inter = fixture_interactions(spark, sf_dir)
+    req = dt.fx_event(spark, sf_dir).select("uid", "mid").unionByName(inter.rating.select("uid", "mid"))
+    return sv.my_ratings(req, inter.rating)
+
+
+@query("person_page_actor")
+def q_person_page_actor(spark, sf_dir):
+    return sv.person_page(fixture_catalog(spark, sf_dir), "actor")
+
+
+@query("person_page_director")
+def q_person_page_director(spark, sf_dir):
+    return sv.person_page(fixture_catalog(spark, sf_dir), "director")
+
+
+@query("user_history")
+def q_user_history(spark, sf_dir):
+    cat, inter = fixture_interactions(spark, sf_dir)
+    return sv.user_history(inter.rating, inter.user, cat.movie)
+
+
+@query("page_movies")
+def q_page_movies(spark, sf_dir):
+    return sv.paged(fixture_catalog(spark, sf_dir).movie, ["name", "rating"])
+
+
+@query("page_users")
+def q_page_users(spark, sf_dir):
+    _, inter = fixture_interactions(spark, sf_dir)
+    return sv.paged(inter.user, ["name"])
+
+
+@query("home")
+def q_home(spark, sf_dir):
+    return sv.home(fixture_catalog(spark, sf_dir))
+
+
+@query("random_users")
+def q_random_users(spark, sf_dir):
+    _, inter = fixture_interactions(spark, sf_dir)
+    return sv.random_users(inter.user, 5)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_recall(spark, sf_dir)
