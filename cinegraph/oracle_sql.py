@@ -8,7 +8,7 @@ from .oracle_fixtures import (FX_ACTOR, FX_BRIDGE, FX_EVENT, FX_ITEM, FX_LATEST,
 
 ORACLE: dict[str, str] = {}
 
-_RECALL_BASE = with_ctes(FX_ITEM, FX_ACTOR, FX_RATING, FX_LATEST, FX_BRIDGE, """
+_RECALL_TAIL = """
 liked AS (SELECT uid, mid FROM fx_latest WHERE rating > 6),
 people AS (SELECT DISTINCT l.uid, b.role, b.pid FROM liked l JOIN fx_bridge b ON b.mid = l.mid),
 hop AS (SELECT DISTINCT p.uid, b.mid FROM people p JOIN fx_bridge b ON b.role = p.role AND b.pid = p.pid),
@@ -27,16 +27,18 @@ fill AS (SELECT uid, pos, mid FROM (
            FROM user_n n CROSS JOIN ranked rk
            WHERE n.n > 0 AND n.n < 50
              AND NOT EXISTS (SELECT 1 FROM excluded e WHERE e.uid = n.uid AND e.mid = rk.mid)) t
-         WHERE pos < 50)
-""")
+         WHERE pos < 50),
+recall_out AS (SELECT uid, CAST(pos AS BIGINT) AS pos, mid FROM s1
+               UNION ALL SELECT uid, CAST(pos AS BIGINT), mid FROM from_top
+               UNION ALL SELECT uid, CAST(pos AS BIGINT), mid FROM fill)
+"""
+
+_RECALL_BASE = with_ctes(FX_ITEM, FX_ACTOR, FX_RATING, FX_LATEST, FX_BRIDGE, _RECALL_TAIL)
 
 ORACLE["latest_rating"] = with_ctes(FX_RATING, FX_LATEST) + "SELECT uid, mid, time, rating FROM fx_latest"
 ORACLE["related_movies"] = _RECALL_BASE + "SELECT uid, mid FROM related"
 ORACLE["recall_stage1"] = _RECALL_BASE + "SELECT uid, CAST(pos AS BIGINT) AS pos, mid FROM s1"
-ORACLE["recall"] = _RECALL_BASE + """
-SELECT uid, CAST(pos AS BIGINT) AS pos, mid FROM s1
-UNION ALL SELECT uid, CAST(pos AS BIGINT), mid FROM from_top
-UNION ALL SELECT uid, CAST(pos AS BIGINT), mid FROM fill"""
+ORACLE["recall"] = _RECALL_BASE + "SELECT uid, pos, mid FROM recall_out"
 ORACLE["top_popular"] = with_ctes(FX_ITEM) + """
 SELECT rnk AS rank, mid, rating FROM (
   SELECT id AS mid, rating, row_number() OVER (ORDER BY rating DESC, id) AS rnk FROM fx_item) t
@@ -171,3 +173,41 @@ ORACLE["home"] = _CATALOG + """
 SELECT 'movie' AS kind, mid AS id, name FROM movies WHERE mid < 4
 UNION ALL SELECT 'actor', id, name FROM actor_ids WHERE id < 4
 UNION ALL SELECT 'director', id, name FROM director_ids WHERE id < 4"""
+
+# ---- M1 / F8 / A8 -----------------------------------------------------------
+_SPLIT = _INTERACTIONS + """,
+tagged AS (SELECT id, uid, mid, rating, substr(md5(CAST(id AS VARCHAR)), 1, 2) < 'c0' AS is_train FROM rating),
+train AS (SELECT id, uid, mid, rating FROM tagged WHERE is_train),
+test_warm AS (SELECT id, uid, mid, rating FROM tagged t WHERE NOT is_train
+              AND uid IN (SELECT uid FROM train) AND mid IN (SELECT mid FROM train))
+"""
+ORACLE["split_train"] = _SPLIT + "SELECT * FROM train"
+ORACLE["split_test_warm"] = _SPLIT + "SELECT * FROM test_warm"
+ORACLE["rmse_mean_baseline"] = _SPLIT + """
+SELECT round(sqrt(avg(pow(t.rating - m.mu, 2))), 6) AS rmse
+FROM test_warm t CROSS JOIN (SELECT avg(rating) AS mu FROM train) m"""
+
+# ---- X8 / ST1-ST3 -----------------------------------------------------------
+RAW_EVENT = """raw_event AS (
+  SELECT event_id, ts, user_id AS uid, json_extract_string(props, '$.k') AS mid_text,
+         CAST(CAST(floor(value / 25) AS BIGINT) AS VARCHAR) AS rating_text FROM events)"""
+_VALID = with_ctes(RAW_EVENT, """valid AS (
+  SELECT event_id, ts, uid, TRY_CAST(mid_text AS INT) AS mid, TRY_CAST(rating_text AS INT) AS rating
+  FROM raw_event WHERE TRY_CAST(mid_text AS INT) IS NOT NULL AND TRY_CAST(rating_text AS INT) BETWEEN 1 AND 10)
+""")
+ORACLE["rating_input_valid"] = _VALID + "SELECT * FROM valid"
+ORACLE["stream_ingest"] = _VALID + """
+SELECT row_number() OVER (ORDER BY ts, event_id) - 1 AS id, uid, mid, ts, rating, event_id FROM valid"""
+ORACLE["stream_latest"] = with_ctes(FX_EVENT) + """
+SELECT uid, mid, rating, ts, event_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY uid, mid ORDER BY ts DESC, event_id DESC) AS rn FROM fx_event) t
+WHERE rn = 1"""
+_LATEST_WITH_EVENTS = """fx_latest AS (SELECT uid, mid, rating FROM (
+  SELECT *, row_number() OVER (PARTITION BY uid, mid ORDER BY time DESC, k1 DESC, k2 DESC, k3 DESC, k4 DESC) AS rn
+  FROM (SELECT o_custkey AS uid, l_partkey AS mid, o_orderdate AS time, CAST(ceil(l_quantity / 5) AS BIGINT) AS rating,
+               l_orderkey AS k1, l_linenumber AS k2, l_suppkey AS k3, l_extendedprice AS k4
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+        UNION ALL SELECT uid, mid, ts, rating, event_id, 0, 0, 0.0 FROM fx_event) u) t WHERE rn = 1)"""
+ORACLE["stream_refresh"] = with_ctes(FX_ITEM, FX_ACTOR, FX_EVENT, _LATEST_WITH_EVENTS, FX_BRIDGE,
+                                     _RECALL_TAIL) + """
+SELECT uid, pos, mid FROM recall_out WHERE uid IN (SELECT uid FROM fx_event)"""

@@ -16,8 +16,11 @@ from .functions.lists import join_list
 from .operators.latest import latest_per_key
 from .plans import catalog as cg
 from .plans import interactions as it
+from .plans import models as md
 from .plans import serving as sv
 from .plans import recall as rc
+from .session import materialize, scratch_path
+from .streaming import ratings as st
 from .sources import driver_tables as dt
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,5 +183,164 @@ def q_random_users(spark, sf_dir):
     return sv.random_users(inter.user, 5)
 
 
+def fixture_split(spark: SparkSession, sf_dir: str):
+    cat, inter = fixture_interactions(spark, sf_dir)
+    train, test = md.split(inter.rating)
+    return cat, inter, train, md.warm_test(train, test)
+
+
+@query("split_train")
+def q_split_train(spark, sf_dir):
+    return fixture_split(spark, sf_dir)[2]
+
+
+@query("split_test_warm")
+def q_split_test_warm(spark, sf_dir):
+    return fixture_split(spark, sf_dir)[3]
+
+
+@query("rmse_mean_baseline")
+def q_rmse_mean_baseline(spark, sf_dir):
+    """A8 over the warm test set for the train-mean predictor (the sanity floor a
+    model must beat); rounded to 6 places."""
+    _, _, train, test = fixture_split(spark, sf_dir)
+    mean = train.select(F.avg("rating")).scalar()      # scalar subquery, no join
+    out = md.rmse(test.withColumn("prediction", mean))
+    return out.select(F.round("rmse", 6).alias("rmse"))
+
+
+@query("als_scores")
+def q_als_scores(spark, sf_dir):
+    """M2 + M3 + M10: deployed ALS on train, scores for the warm test rows."""
+    _, _, train, test = fixture_split(spark, sf_dir)
+    model = md.fit_als(train)
+    return md.score(model, test).select("id", "uid", "mid", "rating", "prediction")
+
+
+@query("recommend")
+def q_recommend(spark, sf_dir):
+    """Top 3 ALS-scored movies of each user's recall list."""
+    cat, inter = fixture_interactions(spark, sf_dir)
+    latest = sv.latest_ratings(inter.rating)
+    lists = rc.recall(latest, cat.movie, cat.people_bridge())
+    model = md.fit_als(inter.rating)
+    return md.recommend(model, lists, cat.movie, 3)
+
+
+@query("fm_scores")
+def q_fm_scores(spark, sf_dir):
+    """M5 + M8: factorization machine on one-hot (uid, mid), scores for warm test."""
+    _, _, train, test = fixture_split(spark, sf_dir)
+    _, pred = md.fit_fm(train, test, rank=8, epochs=10, reg=0.01)
+    return pred.select("id", "uid", "mid", "rating", "prediction")
+
+
+def _small_grid_results(spark, sf_dir):
+    _, _, train, test = fixture_split(spark, sf_dir)
+    train = train.cache()
+    path = scratch_path(spark, "grid-results")
+    als_pts = md.grid(spark, "als", (10, 20), (10,), (0.2, 0.8))
+    md.grid_search(spark, als_pts, path, md.als_evaluator(train, test))
+    fm_pts = md.grid(spark, "fm", (8,), (10,), (0.01, 0.1))
+    return md.grid_search(spark, fm_pts, path, md.fm_evaluator(train, test))
+
+
+@query("als_grid")
+def q_als_grid(spark, sf_dir):
+    """M4/M7/K7: a resumable grid search (a small sub-grid of the reference's)."""
+    return _small_grid_results(spark, sf_dir)
+
+
+@query("model_report")
+def q_model_report(spark, sf_dir):
+    """Best parameters per algorithm."""
+    return md.model_report(_small_grid_results(spark, sf_dir))
+
+
+@query("libsvm_roundtrip")
+def q_libsvm_roundtrip(spark, sf_dir):
+    """K6: the warm test set written as libsvm and read back."""
+    _, _, train, test = fixture_split(spark, sf_dir)
+    nu, nm = md.id_space(train, test)
+    path = scratch_path(spark, "libsvm")
+    md.export_libsvm(test, path, nu, nm)
+    return spark.read.format("libsvm").option("numFeatures", nu + nm).load(path)
+
+
+def fixture_raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rating input as text fields (as typed into a form), from every event."""
+    e = dt.table(spark, sf_dir, "events")
+    return e.select("event_id", "ts", F.col("user_id").alias("uid"),
+                    F.get_json_object("props", "$.k").alias("mid_text"),
+                    F.floor(F.col("value") / 25).cast("bigint").cast("string").alias("rating_text"))
+
+
+def _event_files(df: DataFrame, name: str, files: int = 4, newest_first: bool = True) -> str:
+    """Write a derived event frame as ``files`` parquet files (by time range) to
+    the shared scratch folder, to be streamed."""
+    path = scratch_path(df.sparkSession, name)
+    order = F.col("ts").desc() if newest_first else F.col("ts").asc()
+    df.repartitionByRange(files, order).write.parquet(path)
+    return path
+
+
+@query("rating_input_valid")
+def q_rating_input_valid(spark, sf_dir):
+    """X8 on the batch side: the events that parse as a valid rating."""
+    return st.validate(fixture_raw_events(spark, sf_dir))[0]
+
+
+@query("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    """ST1 + K3: stream the raw events, validate, append with ids (one batch)."""
+    src = _event_files(fixture_raw_events(spark, sf_dir), "raw-events")
+    out, rej, ck = (scratch_path(spark, n) for n in ("ingest-rating", "ingest-rejects", "ingest-ckpt"))
+    st.ingest(spark, src, out, rej, ck)
+    return spark.read.parquet(out).select("id", "uid", "mid", "ts", "rating", "event_id")
+
+
+@query("stream_latest")
+def q_stream_latest(spark, sf_dir):
+    """ST2: latest rating per (uid, mid), files streamed newest first, one per batch."""
+    src = _event_files(dt.fx_event(spark, sf_dir), "events")
+    out, ck = scratch_path(spark, "latest-state"), scratch_path(spark, "latest-ckpt")
+    st.run_latest(spark, src, out, ck, max_files=1)
+    return st.current_latest(spark, out)
+
+
+@query("stream_refresh")
+def q_stream_refresh(spark, sf_dir):
+    """ST3: recall lists of the users touched by the event stream, refreshed per batch
+    from the base ratings plus the events seen so far."""
+    items, bridge = dt.fx_item(spark, sf_dir), dt.fx_bridge(spark, sf_dir)
+    ranked = materialize(rc.rank_items(items), "ranked-items")
+    base = dt.fx_rating(spark, sf_dir)
+    src = _event_files(dt.fx_event(spark, sf_dir), "events")
+    log = scratch_path(spark, "event-log")
+    out, ck = scratch_path(spark, "refresh"), scratch_path(spark, "refresh-ckpt")
+
+    def recall_for(users: DataFrame) -> DataFrame:
+        seen = spark.read.schema(st.EVENT_SCHEMA).parquet(src)  # events are files; batch-read those seen
+        seen = seen.join(spark.read.parquet(log).select("event_id").distinct(), "event_id", "left_semi")
+        ev = seen.select("uid", F.col("mid").cast("long").alias("mid"), F.col("ts").alias("time"),
+                         F.col("rating").cast("long").alias("rating"), F.col("event_id").alias("okey"),
+                         F.lit(0).alias("line"), F.lit(0).cast("long").alias("skey"), F.lit(0.0).alias("price"))
+        rows = base.unionByName(ev).join(users, "uid", "left_semi")
+        latest = latest_per_key(rows, ["uid", "mid"], dt.RATING_EVENT_ORDER, ["rating"])
+        return rc.recall(latest, items, bridge, ranked=ranked)
+
+    events = st.event_stream(spark, src, st.EVENT_SCHEMA, 1)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.select("event_id").write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
+        users = batch.select("uid").distinct()
+        recall_for(users).withColumn("refreshed_in", F.lit(batch_id).cast("long")) \
+            .write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    st._run(events, ck, handle)
+    lists = st.current_lists(spark, out)
+    return lists.select("uid", F.col("pos").cast("long").alias("pos"), "mid")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_recall(spark, sf_dir)
