@@ -211,3 +211,18 @@ _LATEST_WITH_EVENTS = """fx_latest AS (SELECT uid, mid, rating FROM (
 ORACLE["stream_refresh"] = with_ctes(FX_ITEM, FX_ACTOR, FX_EVENT, _LATEST_WITH_EVENTS, FX_BRIDGE,
                                      _RECALL_TAIL) + """
 SELECT uid, pos, mid FROM recall_out WHERE uid IN (SELECT uid FROM fx_event)"""
+
+# ---- S1 / S2 / S3 -------------------------------------------------------------
+ORACLE["catalog_from_csv"] = ORACLE["catalog_movie"]
+ORACLE["interactions_from_csv"] = ORACLE["interactions_rating"]
+ORACLE["crawl_normalised"] = with_ctes("""casts AS (
+  SELECT mid, string_agg(s_name, '|' ORDER BY s_name) AS casts
+  FROM (SELECT DISTINCT l_partkey AS mid, s_name FROM lineitem JOIN supplier ON s_suppkey = l_suppkey
+        WHERE l_linenumber = 1 AND l_quantity > 45) x GROUP BY mid)""") + """
+SELECT p_brand || '-' || CAST(p_size AS VARCHAR) AS directors,
+       CASE WHEN p_size % 10 = 0 THEN 0.0 ELSE ((p_partkey * 37) % 1000) / CAST(100 AS DOUBLE) END AS rate,
+       p_name || '#' || CAST(p_partkey AS VARCHAR) AS title, coalesce(c.casts, '') AS casts,
+       '电影' AS form, '战争' AS Type,
+       ['美国', '香港', '台湾', '日本', '韩国', '英国', '法国'][CAST(p_size % 7 + 1 AS INT)] AS country,
+       ['经典', '青春', '文艺', '搞笑', '励志', '魔幻', '感人', '女性', '黑帮'][CAST(p_partkey % 9 + 1 AS INT)] AS genres
+FROM part LEFT JOIN casts c ON c.mid = p_partkey"""

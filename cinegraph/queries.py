@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.lists import join_list
+from .operators.ids import dense_index
 from .operators.latest import latest_per_key
 from .plans import catalog as cg
 from .plans import interactions as it
@@ -21,7 +22,9 @@ from .plans import serving as sv
 from .plans import recall as rc
 from .session import materialize, scratch_path
 from .streaming import ratings as st
+from .sources import crawl as cw
 from .sources import driver_tables as dt
+from .sources import files as fl
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -342,5 +345,74 @@ def q_stream_refresh(spark, sf_dir):
     return lists.select("uid", F.col("pos").cast("long").alias("pos"), "mid")
 
 
+def fixture_crawl_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crawl responses derived from the part/supplier tables: each movie sits under
+    one facet combination (country by size, tag by key), pages of 20 per
+    combination in id order, then one empty page per combination (the crawler's
+    stop signal).  A movie whose size is a multiple of 10 has no ``rate``."""
+    p = dt.table(spark, sf_dir, "part")
+    s = dt.table(spark, sf_dir, "supplier")
+    casts = (dt._cast_lines(spark, sf_dir).join(s, F.col("l_suppkey") == s.s_suppkey)
+             .select(F.col("l_partkey").alias("mid"), "s_name").distinct()
+             .groupBy("mid").agg(F.array_sort(F.collect_list("s_name")).alias("casts")))
+    countries = F.array(*[F.lit(x) for x in cw.CRAWL_COUNTRIES])
+    tags = F.array(*[F.lit(x) for x in cw.GENRES_TAGS])
+    movies = p.join(casts, casts.mid == p.p_partkey, "left").select(
+        F.col("p_partkey").alias("id"),
+        F.lit(cw.CRAWL_FORM).alias("form"), F.lit(cw.CRAWL_TYPE).alias("Type"),
+        F.element_at(countries, (F.col("p_size") % 7 + 1).cast("int")).alias("country"),
+        F.element_at(tags, (F.col("p_partkey") % 9 + 1).cast("int")).alias("genres"),
+        F.struct(F.array(dt._director(F.col("p_brand"), F.col("p_size"))).alias("directors"),
+                 F.when(F.col("p_size") % 10 != 0, dt._item_score(F.col("p_partkey")).cast("string")).alias("rate"),
+                 dt._movie_name(F.col("p_name"), F.col("p_partkey")).alias("title"),
+                 F.coalesce("casts", F.array().cast("array<string>")).alias("casts"),
+                 F.concat(F.lit("cover/"), F.col("p_partkey").cast("string"), F.lit(".jpg")).alias("cover"),
+                 ).alias("item"))
+    facets = ["form", "Type", "country", "genres"]
+    placed = dense_index(movies, ["id"], out="k", group=facets)
+    pages = (placed.withColumn("start", (F.floor(F.col("k") / cw.PAGE_STEP) * cw.PAGE_STEP).cast("long"))
+             .groupBy(*facets, "start")
+             .agg(F.array_sort(F.collect_list(F.struct("k", "item"))).alias("items")))   # <= 20 per page
+    full = pages.select(*facets, "start", F.to_json(F.struct(
+        F.transform("items", lambda x: x["item"]).alias("data"))).alias("body"))
+    ends = pages.groupBy(*facets).agg((F.max("start") + cw.PAGE_STEP).alias("start")).select(
+        *facets, "start", F.lit('{"data":[]}').alias("body"))
+    return full.unionByName(ends)
+
+
+@query("crawl_normalised")
+def q_crawl_normalised(spark, sf_dir):
+    """S3: crawl responses (written as JSON lines, read back) -> movie rows."""
+    path = scratch_path(spark, "crawl")
+    fixture_crawl_responses(spark, sf_dir).write.json(path)
+    return fl.normalise_crawl(fl.read_crawl_responses(spark, path))
+
+
+@query("catalog_from_csv")
+def q_catalog_from_csv(spark, sf_dir):
+    """S1 + C1: the raw movie rows written as CSV in file order, scanned back (file
+    order from the scan) and built into the movie table."""
+    raw = dt.fx_movie_raw(spark, sf_dir)
+    path = scratch_path(spark, "movie-csv")
+    raw.orderBy("row_ord").drop("row_ord").select(*[f.name for f in fl.schemas.RAW_MOVIE_CSV.fields]) \
+        .write.option("header", True).csv(path)
+    m = cg.movie_table(cg.build_catalog(fl.read_movie_csv(spark, path)))
+    return m.select("id", "name", *[join_list(c, ",").alias(c) for c in ("genres", "actors")],
+                    "district", *[join_list(c, ",").alias(c) for c in ("directors", "traits")], "rating")
+
+
+@query("interactions_from_csv")
+def q_interactions_from_csv(spark, sf_dir):
+    """S2 + C2: the raw rating rows as CSV (timestamps as text), scanned back with
+    timestamp parsing, resolved against the catalog."""
+    raw = dt.fx_rating_raw(spark, sf_dir)
+    path = scratch_path(spark, "rating-csv")
+    raw.orderBy("row_ord").drop("row_ord").select(*[f.name for f in fl.schemas.RAW_RATING_CSV.fields]) \
+        .write.option("header", True).csv(path)
+    rows, _bad = fl.read_rating_csv(spark, path)
+    cat = fixture_catalog(spark, sf_dir)
+    return it.build_interactions(rows, cat.movie).rating
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_recall(spark, sf_dir)
