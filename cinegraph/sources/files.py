@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.lists import join_list
+from ..session import materialize
 
 CORRUPT = "_corrupt_record"
 
@@ -33,13 +34,15 @@ def read_movie_csv(spark: SparkSession, path: str, header: bool = True, sep: str
 def read_rating_csv(spark: SparkSession, path: str, header: bool = True,
                     time_format: str | None = None) -> tuple[DataFrame, DataFrame]:
     """S2 + X4: raw rating rows with parsed timestamps -> (rows, malformed rows).
-    Malformed lines are kept aside (PERMISSIVE mode + corrupt-record column)."""
+    Malformed lines are kept aside (PERMISSIVE mode + corrupt-record column).  The
+    parse is staged once as parquet in the shared checkpoint folder: both outputs
+    read it, and Spark does not allow queries on the corrupt column of a raw scan."""
     schema = schemas.RAW_RATING_CSV.add(CORRUPT, "string")
     reader = (spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE")
                    .option("columnNameOfCorruptRecord", CORRUPT))
     if time_format:
         reader = reader.option("timestampNTZFormat", time_format)
-    df = _with_row_ord(reader.csv(path))
+    df = materialize(_with_row_ord(reader.csv(path)), "rating-csv-parsed")
     return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT), df.where(F.col(CORRUPT).isNotNull())
 
 

@@ -1,0 +1,61 @@
+"""Operator properties: dense ids, latest/first, top-k, backfill, partition independence."""
+
+import random
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from cinegraph.operators.backfill import backfill
+from cinegraph.operators.ids import dense_index
+from cinegraph.operators.latest import first_per_key, latest_per_key
+from cinegraph.operators.topk import top_k_per_group
+
+
+@pytest.mark.parametrize("parts", [1, 7, 64])
+def test_dense_index_equals_row_number(spark, parts):
+    rnd = random.Random(parts)
+    rows = [(rnd.randint(0, 50), i, rnd.random()) for i in range(2000)]
+    df = spark.createDataFrame(rows, "g long, k long, v double")
+    got = dense_index(df, [F.col("v").desc(), "k"], out="ix", num_partitions=parts)
+    ref = df.withColumn("ix", F.row_number().over(Window.orderBy(F.col("v").desc(), "k")) - 1)
+    assert sorted(got.select("k", "ix").collect()) == sorted(ref.select("k", "ix").collect())
+    grouped = dense_index(df, ["v", "k"], out="ix", num_partitions=parts, group=["g"])
+    gref = df.withColumn("ix", F.row_number().over(Window.partitionBy("g").orderBy("v", "k")) - 1)
+    assert sorted(grouped.select("k", "ix").collect()) == sorted(gref.select("k", "ix").collect())
+
+
+def test_dense_index_hot_group_is_split(spark):
+    # one group holds most rows: still exact
+    rows = [(0 if i % 10 else i, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g long, k long")
+    got = dense_index(df, ["k"], out="ix", num_partitions=8, group=["g"])
+    hot = sorted((r["k"], r["ix"]) for r in got.where("g = 0").collect())
+    assert [ix for _, ix in hot] == list(range(len(hot)))
+
+
+def test_latest_and_first(spark):
+    df = spark.createDataFrame([(1, 1, 10, 5), (1, 1, 20, 3), (1, 2, 5, 9), (1, 1, 20, 4)],
+                               "u long, m long, t long, r long")
+    df = df.withColumn("id", F.monotonically_increasing_id())
+    latest = {(r["u"], r["m"]): r["r"] for r in latest_per_key(df, ["u", "m"], ["t", "id"], ["r"]).collect()}
+    assert latest == {(1, 1): 4, (1, 2): 9}
+    first = {(r["u"], r["m"]): r["r"] for r in first_per_key(df, ["u", "m"], ["t", "id"], ["r"]).collect()}
+    assert first == {(1, 1): 5, (1, 2): 9}
+
+
+def test_top_k_per_group(spark):
+    df = spark.createDataFrame([(1, i, float(i % 3)) for i in range(10)], "u long, m long, s double")
+    got = top_k_per_group(df, ["u"], [F.col("s").desc(), "m"], 4).orderBy("pos")
+    assert [r["m"] for r in got.collect()] == [2, 5, 8, 1]
+
+
+def test_backfill_skips_exclusions(spark):
+    ranked = spark.createDataFrame([(100 + i, i + 1) for i in range(30)], "mid long, rank long")
+    needs = spark.createDataFrame([(1, 5, 2), (2, 3, 0)], "uid long, need int, base int")
+    excl = spark.createDataFrame([(1, 100), (1, 101), (1, 103), (2, 129)], "uid long, mid long")
+    got = {}
+    for r in backfill(needs, excl, ranked, 50, chunk=2).collect():
+        got.setdefault(r["uid"], []).append((r["pos"], r["mid"]))
+    assert sorted(got[1]) == [(2, 102), (3, 104), (4, 105), (5, 106), (6, 107)]
+    assert sorted(got[2]) == [(0, 100), (1, 101), (2, 102)]
