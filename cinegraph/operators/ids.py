@@ -26,6 +26,21 @@ def _as_cols(order) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
+def range_partitions(df: DataFrame) -> int:
+    """Partitions for a range shuffle of ``df``: its estimated size over the AQE
+    advisory partition size, at most ``spark.sql.shuffle.partitions`` (AQE does
+    not coalesce a range repartition with an explicit count)."""
+    spark = df.sparkSession
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    target = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
+    try:
+        per = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(target))
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - no estimate: use the configured count
+        return cap
+    return max(1, min(cap, -(-size // max(per, 1))))
+
+
 def dense_index(df: DataFrame, order, out: str = "id", num_partitions: int | None = None,
                 start: int = 0, group=None) -> DataFrame:
     """Add column ``out`` = start, start+1, ... following ``order`` (a total order
@@ -34,7 +49,7 @@ def dense_index(df: DataFrame, order, out: str = "id", num_partitions: int | Non
     Runs one job (range sample + write); the result reads the written table.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or range_partitions(df)
     group = list(group or [])
     cols = _as_cols(group) + _as_cols(order)
     staged = (df.repartitionByRange(n, *cols)

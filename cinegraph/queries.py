@@ -222,12 +222,15 @@ def q_als_scores(spark, sf_dir):
 
 @query("recommend")
 def q_recommend(spark, sf_dir):
-    """Top 3 ALS-scored movies of each user's recall list."""
-    cat, inter = fixture_interactions(spark, sf_dir)
-    latest = sv.latest_ratings(inter.rating)
-    lists = rc.recall(latest, cat.movie, cat.people_bridge())
-    model = md.fit_als(inter.rating)
-    return md.recommend(model, lists, cat.movie, 3)
+    """The recall lists of all users (as in ``recall``), scored by ALS trained on
+    every rating row (superseded ones included, as the reference trains), best 3
+    per user with movie name and rating."""
+    items = dt.fx_item(spark, sf_dir)
+    raw = dt.fx_rating(spark, sf_dir)
+    latest = latest_per_key(raw, ["uid", "mid"], dt.RATING_EVENT_ORDER, ["rating"])
+    lists = rc.recall(latest, items, dt.fx_bridge(spark, sf_dir))
+    model = md.fit_als(raw.select("uid", "mid", "rating"))
+    return md.recommend(model, lists, items, 3)
 
 
 @query("fm_scores")

@@ -13,8 +13,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has task
+    slots (e.g. one file with a single row group, which cannot be split), so the
+    map side runs in parallel.  Large inputs have many splits and are returned
+    as they are.  Filters and column pruning still reach the scan below."""
+    spark = df.sparkSession
+    slots = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _item_score(partkey: Column) -> Column:
