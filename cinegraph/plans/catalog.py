@@ -69,8 +69,10 @@ def build_catalog(raw: DataFrame, sep: str = "|") -> Catalog:
     first-seen keys (kind, name, key), key = (row_ord, list position)."""
     raw = materialize(raw.select("row_ord", "genre", "actor", "district", "director", "trait",
                                  "rating", "name"), "catalog-raw")
-    first = first_per_key(raw, ["name"], ["row_ord"],
-                          ["row_ord", "actor", "district", "director", "rating"])
+    # one row per movie (its first row); read by five branches below, so written once
+    first = materialize(first_per_key(raw, ["name"], ["row_ord"],
+                                      ["row_ord", "actor", "district", "director", "rating"]),
+                        "catalog-first")
 
     def key(pos=None):
         return F.struct(F.col("row_ord").alias("o"), (pos if pos is not None else F.lit(0)).alias("p"))
@@ -88,7 +90,8 @@ def build_catalog(raw: DataFrame, sep: str = "|") -> Catalog:
             .unionByName(first_seen(occurrences("director"), "director", "pname", key(F.col("pos"))))
             .unionByName(first_seen(raw, "genre", "genre", key()))
             .unionByName(first_seen(raw, "trait", "trait", key())))
-    ids = dense_index(keys, ["k"], out="id", group=["kind"]).select("kind", "name", "id")
+    ids = materialize(dense_index(keys, ["k"], out="id", group=["kind"]).select("kind", "name", "id"),
+                      "catalog-ids")   # read once per id family below
 
     def names(kind):
         return ids.where(F.col("kind") == kind).select("id", "name")

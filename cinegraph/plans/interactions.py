@@ -45,10 +45,19 @@ def build_interactions(raw: DataFrame, movie: DataFrame, strict: bool = False) -
     resolved = raw.join(names, "movie").select("row_ord", F.col("name").alias("uname"), "mid", "time", "rating")
     resolved = materialize(resolved, "interactions-resolved")
 
-    users = dense_index(resolved.groupBy("uname").agg(F.min("row_ord").alias("k")), ["k"], out="uid")
-    users = users.select("uid", F.col("uname").alias("name"))
+    # user ids (first row of each user) and rating ids (first row of each pair) in
+    # one grouped dense-index pass: one range shuffle for both id families
+    user_keys = resolved.groupBy("uname").agg(F.min("row_ord").alias("k")).select(
+        F.lit("user").alias("kind"), "uname", F.lit(None).cast("long").alias("mid"), "k",
+        F.lit(None).cast(resolved.schema["time"].dataType).alias("time"),
+        F.lit(None).cast("long").alias("rating"))
     firsts = first_per_key(resolved, ["uname", "mid"], ["row_ord"], ["row_ord", "time", "rating"])
-    rated = dense_index(firsts, ["row_ord"], out="id")
+    pair_keys = firsts.select(F.lit("rating").alias("kind"), "uname", "mid", F.col("row_ord").alias("k"),
+                              "time", F.col("rating").cast("long").alias("rating"))
+    ids = materialize(dense_index(user_keys.unionByName(pair_keys), ["k"], out="id", group=["kind"]),
+                      "interactions-ids")
+    users = ids.where(F.col("kind") == "user").select(F.col("id").alias("uid"), F.col("uname").alias("name"))
+    rated = ids.where(F.col("kind") == "rating")
     rating = rated.join(users.withColumnRenamed("name", "uname"), "uname").select(
         "id", "uid", "mid", "time", "rating")
     with_uid = resolved.join(users.withColumnRenamed("name", "uname"), "uname")
