@@ -314,16 +314,19 @@ def q_stream_latest(spark, sf_dir):
     return st.current_latest(spark, out)
 
 
-@query("stream_refresh")
-def q_stream_refresh(spark, sf_dir):
-    """ST3: recall lists of the users touched by the event stream, refreshed per batch
-    from the base ratings plus the events seen so far."""
+def _stream_refresh(spark: SparkSession, sf_dir: str, with_model: bool = False):
+    """ST3 (+ C10): stream the event files (one per batch); per batch, log the
+    events, recompute recall for the touched users from the base ratings plus the
+    events seen so far and, with a model, their top-3 recommendations (C9).
+    Returns the output folders (lists, recommendations)."""
     items, bridge = dt.fx_item(spark, sf_dir), dt.fx_bridge(spark, sf_dir)
     ranked = materialize(rc.rank_items(items), "ranked-items")
     base = dt.fx_rating(spark, sf_dir)
+    model = (md.load_or_train(spark, scratch_path(spark, "als-model"), base.select("uid", "mid", "rating"))
+             if with_model else None)
     src = _event_files(dt.fx_event(spark, sf_dir), "events")
     log = scratch_path(spark, "event-log")
-    out, ck = scratch_path(spark, "refresh"), scratch_path(spark, "refresh-ckpt")
+    out, recs, ck = (scratch_path(spark, n) for n in ("refresh", "refresh-recs", "refresh-ckpt"))
 
     def recall_for(users: DataFrame) -> DataFrame:
         seen = spark.read.schema(st.EVENT_SCHEMA).parquet(src)  # events are files; batch-read those seen
@@ -340,14 +343,34 @@ def q_stream_refresh(spark, sf_dir):
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch.select("event_id").write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
         users = batch.select("uid").distinct()
-        recall_for(users).withColumn("refreshed_in", F.lit(batch_id).cast("long")) \
+        lists = materialize(recall_for(users), "refresh-batch")
+        lists.withColumn("refreshed_in", F.lit(batch_id).cast("long")) \
             .write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        if model is not None:
+            md.recommend(model, lists, items, 3).withColumn("refreshed_in", F.lit(batch_id).cast("long")) \
+                .write.mode("overwrite").parquet(f"{recs}/batch={batch_id}")
 
     st._run(events, ck, handle)
+    return out, recs
+
+
+@query("stream_refresh")
+def q_stream_refresh(spark, sf_dir):
+    """ST3: recall lists of the users touched by the event stream, refreshed per batch
+    from the base ratings plus the events seen so far."""
+    out, _ = _stream_refresh(spark, sf_dir)
     lists = st.current_lists(spark, out)
     return lists.select("uid", F.col("pos").cast("long").alias("pos"), "mid")
 
 
+@query("stream_recommend")
+def q_stream_recommend(spark, sf_dir):
+    """C10 / ST3 + M9 + C9: touched users' top-3 recommendations after each batch,
+    scored by a loaded-or-trained ALS model."""
+    _, recs = _stream_refresh(spark, sf_dir, with_model=True)
+    return st.current_lists(spark, recs).select("uid", "pos", "mid", "name", "rating", "prediction")
+
+
 def fixture_crawl_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Crawl responses derived from the part/supplier tables: each movie sits under
     one facet combination (country by size, tag by key), pages of 20 per

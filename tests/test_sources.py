@@ -56,3 +56,8 @@ def test_publish_and_append(spark):
     assert tb.preview(spark, "rating", 1).first()["id"] == 0
     spark.catalog.setCurrentDatabase("default")
     assert F
+
+
+def test_crawl_tokens(spark):
+    df = spark.createDataFrame([("{'rate': '7.0', 'title': 'M2'}",)], "body string")
+    assert df.select(fl.crawl_tokens("body").alias("t")).first()["t"] == ["rate", "7.0", "title", "M2"]
