@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import format_time, star_percent
 from ..operators.ids import dense_index
 from ..operators.latest import latest_per_key
+from ..operators.topk import page
 from .catalog import Catalog, dimension_rows
 
 PAGE_SIZE = 20
@@ -102,8 +103,7 @@ def paged(table: DataFrame, cols, page_size: int = PAGE_SIZE) -> DataFrame:
 
 def page_of(table: DataFrame, page_no: int, cols, page_size: int = PAGE_SIZE) -> DataFrame:
     """one page as a half-open id range (pushed to the scan), ordered by id."""
-    lo, hi = page_no * page_size, (page_no + 1) * page_size
-    return table.where((F.col("id") >= lo) & (F.col("id") < hi)).select("id", *cols).orderBy("id")
+    return page(table.select("id", *cols), page_no, page_size)
 
 
 def home(cat: Catalog, per_kind: int = 4) -> DataFrame:

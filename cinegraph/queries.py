@@ -315,22 +315,17 @@ def q_stream_latest(spark, sf_dir):
 
 
 def _stream_refresh(spark: SparkSession, sf_dir: str, with_model: bool = False):
-    """ST3 (+ C10): stream the event files (one per batch); per batch, log the
-    events, recompute recall for the touched users from the base ratings plus the
-    events seen so far and, with a model, their top-3 recommendations (C9).
-    Returns the output folders (lists, recommendations)."""
+    """ST3 (+ C10) over the event files (one per batch): recall for the touched users
+    from the base ratings plus the events seen so far and, with a model, their top-3
+    recommendations (C9).  Returns the output folders (lists, recommendations)."""
     items, bridge = dt.fx_item(spark, sf_dir), dt.fx_bridge(spark, sf_dir)
     ranked = materialize(rc.rank_items(items), "ranked-items")
     base = dt.fx_rating(spark, sf_dir)
-    model = (md.load_or_train(spark, scratch_path(spark, "als-model"), base.select("uid", "mid", "rating"))
-             if with_model else None)
     src = _event_files(dt.fx_event(spark, sf_dir), "events")
-    log = scratch_path(spark, "event-log")
-    out, recs, ck = (scratch_path(spark, n) for n in ("refresh", "refresh-recs", "refresh-ckpt"))
+    out, recs, ck, log = (scratch_path(spark, n) for n in ("refresh", "refresh-recs", "refresh-ckpt", "event-log"))
 
-    def recall_for(users: DataFrame) -> DataFrame:
-        seen = spark.read.schema(st.EVENT_SCHEMA).parquet(src)  # events are files; batch-read those seen
-        seen = seen.join(spark.read.parquet(log).select("event_id").distinct(), "event_id", "left_semi")
+    def recall_for(users: DataFrame, event_log: str) -> DataFrame:
+        seen = spark.read.schema(st.EVENT_SCHEMA).parquet(event_log)
         ev = seen.select("uid", F.col("mid").cast("long").alias("mid"), F.col("ts").alias("time"),
                          F.col("rating").cast("long").alias("rating"), F.col("event_id").alias("okey"),
                          F.lit(0).alias("line"), F.lit(0).cast("long").alias("skey"), F.lit(0.0).alias("price"))
@@ -338,19 +333,11 @@ def _stream_refresh(spark: SparkSession, sf_dir: str, with_model: bool = False):
         latest = latest_per_key(rows, ["uid", "mid"], dt.RATING_EVENT_ORDER, ["rating"])
         return rc.recall(latest, items, bridge, ranked=ranked)
 
-    events = st.event_stream(spark, src, st.EVENT_SCHEMA, 1)
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.select("event_id").write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
-        users = batch.select("uid").distinct()
-        lists = materialize(recall_for(users), "refresh-batch")
-        lists.withColumn("refreshed_in", F.lit(batch_id).cast("long")) \
-            .write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        if model is not None:
-            md.recommend(model, lists, items, 3).withColumn("refreshed_in", F.lit(batch_id).cast("long")) \
-                .write.mode("overwrite").parquet(f"{recs}/batch={batch_id}")
-
-    st._run(events, ck, handle)
+    rescore = None
+    if with_model:
+        model = md.load_or_train(spark, scratch_path(spark, "als-model"), base.select("uid", "mid", "rating"))
+        rescore = lambda lists: md.recommend(model, lists, items, 3)
+    st.run_refresh(spark, src, out, ck, recall_for, log, rescore, recs)
     return out, recs
 
 

@@ -18,7 +18,7 @@ def test_oracle_keys_are_queries():
 
 
 @pytest.mark.parametrize("name", ["recall", "catalog_movie", "interactions_user", "user_history",
-                                  "stream_latest", "crawl_normalised"])
+                                  "stream_latest", "crawl_normalised", "stream_refresh", "home"])
 def test_matches_duckdb(spark, name):
     con = duckdb.connect()
     for t in ("customer", "supplier", "part", "orders", "lineitem", "events"):
