@@ -43,8 +43,17 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of this session (set one only if it is unset)."""
-    sc = spark.sparkContext
+    """The shared checkpoint folder of this session (set one only if it is unset).
+
+    Without a reachable SparkContext (a remote session) the folder must be given
+    by ``spark.checkpoint.dir``."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: configuration only
+        conf = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder") from None
+        return conf
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -61,3 +61,19 @@ def test_publish_and_append(spark):
 def test_crawl_tokens(spark):
     df = spark.createDataFrame([("{'rate': '7.0', 'title': 'M2'}",)], "body string")
     assert df.select(fl.crawl_tokens("body").alias("t")).first()["t"] == ["rate", "7.0", "title", "M2"]
+
+
+def test_append_csv_and_publish_all(spark):
+    path = scratch_path(spark, "t-append")
+    rows = spark.createDataFrame([("B", 7.0, "M2", "A|徐峥", "电影", "喜剧", "美国", "经典")], fl.schemas.CRAWL_ROW)
+    tb.append_csv(rows, path)
+    tb.append_csv(rows, path)
+    back = spark.read.schema(fl.schemas.CRAWL_ROW).csv(path)      # header-less
+    assert back.count() == 2 and back.first()["casts"] == "A|徐峥"
+    tb.use_database(spark, "cinegraph_t2")
+    movie = spark.createDataFrame([(1, "M", [0], [1, 2], 0, [3], [], 7.5)],
+                                  "id long, name string, genres array<bigint>, actors array<bigint>, "
+                                  "district long, directors array<bigint>, traits array<bigint>, rating double")
+    out = tb.publish_all({"movie": movie}, prefix="p_")
+    assert out["movie"].schema == fl.schemas.MOVIE and out["movie"].count() == 1
+    spark.catalog.setCurrentDatabase("default")
