@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 
 _POS_BITS = 33
 
@@ -65,6 +65,11 @@ def dense_index(df: DataFrame, order, out: str = "id", num_partitions: int | Non
     offsets = stats.select("_p", *group, "_first",
                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     if not group:
-        offsets = F.broadcast(offsets)
+        offsets = F.broadcast(offsets)           # one row per partition: bounded by n
+    else:
+        # one row per (partition, group): tiny for a few groups, as large as the
+        # data for millions.  Written out, its true size is known, so Catalyst
+        # broadcasts it only under the size threshold and shuffles otherwise.
+        offsets = materialize(offsets, "dense-index-offsets")
     joined = frozen.join(offsets, ["_p", *group])
     return joined.select(*df.columns, (F.col("_off") + F.col("_q") - F.col("_first") + F.lit(start)).alias(out))
