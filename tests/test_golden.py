@@ -79,3 +79,12 @@ def test_strict_rejects(spark):
     with pytest.raises(it.UnknownMovieError):
         it.build_interactions(rating_raw(spark), cat.movie, strict=True)
     assert F  # keep import
+
+
+def test_empty_stage1_can_exclude_rated(spark):
+    cat = cg.build_catalog(movie_raw(spark))
+    inter = it.build_interactions(rating_raw(spark), cat.movie)
+    p = rc.RecallParams(exclude_rated_when_empty=True)
+    lists = rc.recall(sv.latest_ratings(inter.rating), cat.movie, cat.people_bridge(), p)
+    dan = [r["mid"] for r in lists.where("uid = 2").orderBy("pos").collect()]
+    assert dan == [0, 2]
