@@ -22,3 +22,16 @@ def test_scan_pruning(spark):
     assert "PushedFilters: [IsNotNull(l_linenumber), IsNotNull(l_quantity), EqualTo(l_linenumber,1)" in plan
     # distinct (mid, aid) needs the supplier key; nothing else of lineitem is read
     assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint,l_linenumber:int,l_quantity:double>" in plan
+
+
+def test_page_range_reaches_scan(spark):
+    from cinegraph.plans import serving as sv
+    from cinegraph.sources import tables as tb
+    tb.use_database(spark, "cinegraph_plan_t")
+    movies = spark.range(100).selectExpr("id", "concat('m', id) AS name", "cast(id % 10 AS double) AS rating")
+    published = tb.publish(movies, "movie_pages", key="id", num_files=4)
+    page = sv.page_of(published, 2, ["name"])
+    plan = _plan(page)
+    spark.catalog.setCurrentDatabase("default")
+    assert "GreaterThanOrEqual(id,40)" in plan and "LessThan(id,60)" in plan
+    assert [r["id"] for r in page.collect()] == list(range(40, 60))
