@@ -27,3 +27,19 @@ def test_etl_recall_recommend(spark):
         assert {r["uid"] for r in recs.collect()} <= {0, 1, 2}
     finally:
         spark.catalog.setCurrentDatabase("default")
+
+
+def test_select_job_resumes(spark):
+    import datetime as dt
+    rows = [(i, i % 30, (i * 7) % 20, dt.datetime(2019, 1, 1), (i * 13) % 10 + 1) for i in range(900)]
+    tb.use_database(spark, "cinegraph_sel_t")
+    try:
+        tb.publish(spark.createDataFrame(rows, fl.schemas.RATING), "rating")
+        path = scratch_path(spark, "t-grid")
+        grids = dict(als_grid=((2,), (3,), (0.1, 0.1)), fm_grid=((2,), (3,), (0.1,)))
+        report = cli.select_job(spark, path, **grids)
+        assert sorted(r["algo"] for r in report.collect()) == ["als", "fm"]
+        cli.select_job(spark, path, **grids)          # resumed: nothing left to fit
+        assert spark.read.parquet(path).count() == 2  # one ALS point (0.1 repeated) + one FM point
+    finally:
+        spark.catalog.setCurrentDatabase("default")
