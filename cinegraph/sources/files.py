@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.lists import join_list
@@ -37,7 +38,8 @@ def read_rating_csv(spark: SparkSession, path: str, header: bool = True,
     Malformed lines are kept aside (PERMISSIVE mode + corrupt-record column).  The
     parse is staged once as parquet in the shared checkpoint folder: both outputs
     read it, and Spark does not allow queries on the corrupt column of a raw scan."""
-    schema = schemas.RAW_RATING_CSV.add(CORRUPT, "string")
+    # a new schema: StructType.add would change the shared constant in place
+    schema = T.StructType(schemas.RAW_RATING_CSV.fields + [T.StructField(CORRUPT, T.StringType())])
     reader = (spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE")
                    .option("columnNameOfCorruptRecord", CORRUPT))
     if time_format:
