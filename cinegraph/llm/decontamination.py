@@ -23,7 +23,8 @@ UNITS = ("kg g mg lb lbs oz km m cm mm mi ft in l ml s sec secs second seconds m
          "dollars euro euros cent cents usd eur percent mph kmh").split()
 
 _NAME, _UNIT = "\u0001", "\u0002"
-_TOKEN = rf"[{_NAME}{_UNIT}]?(?:\p{{N}}+(?:[.,]\p{{N}}+)*|\p{{L}}+)"
+_NUMBER = r"\p{N}++(?:[.,]\p{N}++)*+"
+_TOKEN = rf"[{_NAME}{_UNIT}]?(?:{_NUMBER}(?!\p{{L}})|[\p{{L}}\p{{N}}]+)"
 
 
 def tokens(text: Column) -> Column:
@@ -39,7 +40,7 @@ def canonical(token: Column) -> Column:
     """A token's template form: itself in lower case, or its type."""
     first = F.substring(token, 1, 1)
     return (F.when(first == _NAME, F.lit("<name>")).when(first == _UNIT, F.lit("<unit>"))
-            .when(first.rlike(r"\p{N}"), F.lit("<number>")).otherwise(F.lower(token)))
+            .when(first.rlike(r"\p{N}") & token.rlike(f"^{_NUMBER}$"), F.lit("<number>")).otherwise(F.lower(token)))
 
 
 def _windows(rows: DataFrame, width: int, keep: list[str]) -> DataFrame:
@@ -48,7 +49,10 @@ def _windows(rows: DataFrame, width: int, keep: list[str]) -> DataFrame:
     every = F.when(F.size("codes") >= width, F.transform(
         F.sequence(F.lit(1), F.size("codes") - (width - 1)),
         lambda i: F.xxhash64(*[F.element_at("codes", i + k) for k in range(width)])))
-    return hashed.select(*keep, every.alias("every")).select(*keep, F.posexplode("every").alias("pos", "window"))
+    # outer: an inner explode makes Catalyst filter on the array's size below the
+    # projections, where it would compute ``codes`` again for every window
+    return (hashed.select(*keep, every.alias("every"))
+            .select(*keep, F.posexplode_outer("every").alias("pos", "window")).where(F.col("window").isNotNull()))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 5, coverage: float = 0.5,

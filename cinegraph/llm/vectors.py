@@ -83,7 +83,8 @@ def _task(cosine: float, m: int, half: float, least: int, seed: int, tile: int =
     def run(key: tuple, group: pa.Table) -> pa.Table:
         n = group.num_rows
         side = group.column("side").to_numpy()
-        node, weight = group.column("node").to_numpy(), group.column("copies").to_numpy()
+        node, tag = group.column("node").to_numpy(), group.column("tag").to_numpy()
+        weight = group.column("copies").to_numpy()
         x = _unit(group.column("embedding"), n)
         generator = key[2].as_py()
         p = x @ _directions(x.shape[1], m, seed)
@@ -103,7 +104,9 @@ def _task(cosine: float, m: int, half: float, least: int, seed: int, tile: int =
             np.add.at(links, b, weight[a])
             forest.add(a, b)
         some = np.flatnonzero(links)
-        return pa.table({"node": node[some], "links": links[some], "root": node[forest.root[some]]})
+        root = forest.root[some]
+        return pa.table({"node": node[some], "tag": tag[some], "links": links[some],
+                         "root": node[root], "root_tag": tag[root]})
     return run
 
 
@@ -143,7 +146,8 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = 0.93, projections
     nodes = materialize(
         rows.where(usable).groupBy("label", "embedding")
         .agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"))
-        .withColumn("size", F.size("embedding")), "distinct-vectors")
+        # the tag tells vectors of one id apart
+        .withColumn("tag", F.xxhash64("embedding")).withColumn("size", F.size("embedding")), "distinct-vectors")
 
     placed = _cells(nodes, projections - least + 1, half, projections, seed)
     base = ["label", "size", "axis"]
@@ -153,7 +157,7 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = 0.93, projections
     after = counts.select(*base, (F.col("cell") - 1).alias("cell"), F.col("k").alias("k_after"))
     keys = [*base, "cell"]
     known = materialize(counts.join(before, keys, "left").join(after, keys, "left"), "cell-neighbours")
-    mine = placed.join(known, keys).withColumn("c", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
+    mine = placed.join(known, keys).withColumn("c", F.pmod(F.col("tag"), F.col("k")).cast("int"))
 
     def chunks(count: str):
         return F.when(F.col(count) > 0, F.sequence(F.lit(0), F.col(count) - 1)).otherwise(F.array().cast("array<int>"))
@@ -164,17 +168,20 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = 0.93, projections
     own = F.transform(chunks("k"), lambda o: meeting(cell, F.least(c, o), F.greatest(c, o), (o < c).cast("int"), True))
     first = F.transform(chunks("k_after"), lambda o: meeting(cell, c, o, F.lit(0), False))
     second = F.transform(chunks("k_before"), lambda o: meeting(cell - 1, o, c, F.lit(1), False))
-    tasks = mine.select(*base, "node", "copies", "embedding", F.inline(F.concat(own, first, second)))
+    tasks = mine.select(*base, "node", "tag", "copies", "embedding", F.inline(F.concat(own, first, second)))
     found = materialize(
         tasks.groupBy(*base, "at", "i", "j", "inner")
-        .applyInArrow(_task(cosine, projections, half, least, seed), "node long, links long, root long"),
+        .applyInArrow(_task(cosine, projections, half, least, seed),
+                      "node long, tag long, links long, root long, root_tag long"),
         "vector-links")
 
-    sums = found.groupBy("node").agg(F.sum("links").alias("links"))
-    classes = components(found.where("node <> root").select("node", "root"))
-    by_node = (nodes.join(sums, "node", "left").join(classes, "node", "left")
+    sums = found.groupBy("node", "tag").agg(F.sum("links").alias("links"))
+    classes = components(found.select(F.struct("node", "tag").alias("a"),
+                                      F.struct(F.col("root").alias("node"), F.col("root_tag").alias("tag")).alias("b"))
+                         .where("a <> b")).select("node.node", "node.tag", F.col("component.node").alias("least"))
+    by_node = (nodes.join(sums, ["node", "tag"], "left").join(classes, ["node", "tag"], "left")
                .select("label", "embedding", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                       F.coalesce("component", "node").alias("component_id")))
+                       F.coalesce("least", "node").alias("component_id")))
     linked = rows.where(usable).join(by_node, ["label", "embedding"]).select("vec_id", "n_links", "component_id")
     alone = rows.where(~F.coalesce(usable, F.lit(False))).select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
