@@ -21,23 +21,32 @@ from .plans import interactions as it
 from .plans import models as md
 from .plans import recall as rc
 from .plans import serving as sv
-from .session import checkpoint_dir
+from .session import checkpoint_dir, materialize, scratch_scope
 from .sources import files as fl
 from .sources import tables as tb
 
 
-def etl(spark: SparkSession, movies: str, ratings: str, header: bool = True, strict: bool = False) -> dict:
-    """C1 + C2 + K2: raw CSVs -> movie, actor, director, genre, district, trait,
-    rating, user tables (published schema) plus row-form lists and rejects."""
+def etl(spark: SparkSession, movies: str, ratings: str, header: bool = True, strict: bool = False,
+        arrays: bool = False) -> dict:
+    """C1 + C2 + K2: raw CSVs -> movie and rating tables, (id, name) of every dimension
+    and of the users, their movie lists in row form, and rejects.
+
+    ``arrays`` publishes the dimensions and users in the original schema instead, one
+    row with the array of all its movies each: a genre of a third of all movies is then
+    one row, so it is for small catalogs only."""
     cat = cg.build_catalog(fl.read_movie_csv(spark, movies, header=header))
     rows, bad = fl.read_rating_csv(spark, ratings, header=header)
     inter = it.build_interactions(rows, cat.movie, strict=strict)
-    frames = {"movie": cg.movie_table(cat), "rating": inter.rating, "user": it.user_table(inter, cat.movie)}
-    frames.update({d: cg.dimension_table(cat, d) for d in cg.DIMENSIONS})
-    out = tb.publish_all(frames)
+    out = tb.publish_all({"movie": cg.movie_table(cat), "rating": inter.rating})
+    if arrays:
+        lists = {"user": it.user_table(inter, cat.movie)} | {d: cg.dimension_table(cat, d) for d in cg.DIMENSIONS}
+        out |= tb.publish_all(lists)
+    else:
+        out |= {"user": tb.publish(inter.user, "user")} | {d: tb.publish(cat.names[d], d) for d in cg.DIMENSIONS}
     for d in cg.DIMENSIONS:
         tb.publish(cg.dimension_rows(cat, d), f"{d}_movies", key="id")
     tb.publish(it.user_rows(inter, cat.movie), "user_movies", key="id")
+    tb.publish(cat.rejects.drop("row_ord"), "movie_rejects", key=None)
     tb.publish(inter.rejects.drop("row_ord"), "rating_rejects", key=None)
     tb.publish(bad.drop("row_ord"), "rating_malformed", key=None)
     return out
@@ -70,7 +79,7 @@ def select_job(spark: SparkSession, results_path: str, als_grid=None, fm_grid=No
     """M1 + F8 + M4 + M7 + C11: resumable grid searches -> table ``model_report``."""
     train, test = md.split(spark.table("rating"))
     test = md.warm_test(train, test)
-    train = train.cache()
+    train, test = materialize(train, "select-train"), materialize(test, "select-test")
     als_pts = md.grid(spark, "als", *(als_grid or (md.ALS_RANKS, md.ALS_MAX_ITERS, md.ALS_REGS)))
     md.grid_search(spark, als_pts, results_path, md.als_evaluator(train, test))
     fm_pts = md.grid(spark, "fm", *(fm_grid or (md.FM_RANKS, md.FM_EPOCHS, md.FM_LAMBDAS)))
@@ -86,20 +95,22 @@ def main(argv=None) -> None:
     ap.add_argument("--ratings")
     ap.add_argument("--no-header", action="store_true")
     ap.add_argument("--strict", action="store_true")
+    ap.add_argument("--arrays", action="store_true", help="dimensions and users with arrays of their movies")
     ap.add_argument("--model")
     ap.add_argument("--results")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"cinegraph-{args.command}").getOrCreate()
     checkpoint_dir(spark)
     tb.use_database(spark, args.db)
-    if args.command == "etl":
-        etl(spark, args.movies, args.ratings, header=not args.no_header, strict=args.strict)
-    elif args.command == "recall":
-        recall_job(spark)
-    elif args.command == "recommend":
-        recommend_job(spark, args.model)
-    else:
-        select_job(spark, args.results)
+    with scratch_scope(spark):                 # results are published tables by then
+        if args.command == "etl":
+            etl(spark, args.movies, args.ratings, header=not args.no_header, strict=args.strict, arrays=args.arrays)
+        elif args.command == "recall":
+            recall_job(spark)
+        elif args.command == "recommend":
+            recommend_job(spark, args.model)
+        else:
+            select_job(spark, args.results)
 
 
 __all__ = ["etl", "recall_job", "recommend_job", "select_job", "main"]

@@ -13,11 +13,6 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def parse_time(c, fmt: str | None = None) -> Column:
-    """String -> timestamp (null when it does not parse)."""
-    return F.to_timestamp(_c(c), fmt) if fmt else F.to_timestamp(_c(c))
-
-
 def format_time(c) -> Column:
     """Timestamp -> 'yyyy-MM-dd HH:mm'."""
     return F.date_format(_c(c), TIME_PATTERN)

@@ -7,9 +7,9 @@ sorted inside each partition.  The partition index and the position inside it ar
 read off ``monotonically_increasing_id`` (partition index in the upper 31 bits,
 position in the lower 33).  That layout is frozen by writing it to the shared
 checkpoint folder (range sampling must not be re-run by a retried or re-planned
-stage).  Each row then gets offset(group, partition) + position - first position
-of its group in that partition.  Without a group the offsets table has one row per
-partition, a bound we set ourselves, so it is broadcast.
+stage).  Each row then gets the number of its group's rows in earlier partitions
+plus its place in its own; at most one group per partition has rows in an earlier one,
+so the offsets are bounded by the number of partitions and are broadcast.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize, scratch_path
+from ..session import scratch_path
 
 _POS_BITS = 33
 
@@ -26,21 +26,6 @@ def _as_cols(order) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-def range_partitions(df: DataFrame) -> int:
-    """Partitions for a range shuffle of ``df``: its estimated size over the AQE
-    advisory partition size, at most ``spark.sql.shuffle.partitions`` (AQE does
-    not coalesce a range repartition with an explicit count)."""
-    spark = df.sparkSession
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    target = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
-    try:
-        per = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(target))
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001 - no estimate: use the configured count
-        return cap
-    return max(1, min(cap, -(-size // max(per, 1))))
-
-
 def dense_index(df: DataFrame, order, out: str = "id", num_partitions: int | None = None,
                 start: int = 0, group=None) -> DataFrame:
     """Add column ``out`` = start, start+1, ... following ``order`` (a total order
@@ -49,27 +34,37 @@ def dense_index(df: DataFrame, order, out: str = "id", num_partitions: int | Non
     Runs one job (range sample + write); the result reads the written table.
     """
     spark = df.sparkSession
-    n = num_partitions or range_partitions(df)
     group = list(group or [])
     cols = _as_cols(group) + _as_cols(order)
-    staged = (df.repartitionByRange(n, *cols)
-                .sortWithinPartitions(*cols)
-                .withColumn("_ix", F.monotonically_increasing_id()))
+    # without a count, adaptive execution joins small neighbouring ranges
+    ranged = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
+    ix, p, q = "_ix", "_p", "_q"
+    staged = ranged.sortWithinPartitions(*cols).withColumn(ix, F.monotonically_increasing_id())
     path = scratch_path(spark, "dense-index")
     staged.write.mode("overwrite").parquet(path)
     frozen = (spark.read.schema(staged.schema).parquet(path)
-                   .withColumn("_p", F.shiftright(F.col("_ix"), _POS_BITS))
-                   .withColumn("_q", F.col("_ix").bitwiseAND(F.lit((1 << _POS_BITS) - 1))))
-    stats = frozen.groupBy("_p", *group).agg(F.count(F.lit(1)).alias("_n"), F.min("_q").alias("_first"))
-    before = Window.partitionBy(*group).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stats.select("_p", *group, "_first",
-                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+                   .withColumn(p, F.shiftright(F.col(ix), _POS_BITS))
+                   .withColumn(q, F.col(ix).bitwiseAND(F.lit((1 << _POS_BITS) - 1))))
     if not group:
-        offsets = F.broadcast(offsets)           # one row per partition: bounded by n
-    else:
-        # one row per (partition, group): tiny for a few groups, as large as the
-        # data for millions.  Written out, its true size is known, so Catalyst
-        # broadcasts it only under the size threshold and shuffles otherwise.
-        offsets = materialize(offsets, "dense-index-offsets")
-    joined = frozen.join(offsets, ["_p", *group])
-    return joined.select(*df.columns, (F.col("_off") + F.col("_q") - F.col("_first") + F.lit(start)).alias(out))
+        # one row per partition: bounded by the number of partitions
+        sizes = frozen.groupBy(p).agg(F.count(F.lit(1)).alias("_n"))
+        before = Window.orderBy(p).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = sizes.select(F.col(p).alias("_op"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+        joined = frozen.join(F.broadcast(offsets), F.col(p) == F.col("_op"))
+        return joined.select(*df.columns, (F.col("_off") + F.col(q) + F.lit(start)).alias(out))
+    # A group's rows lie together, so only the first group of a partition can have begun
+    # in an earlier one: at most one group per partition needs an offset, a broadcast
+    # bounded by the number of partitions.  Places inside (partition, group) come from a
+    # window on both, which keeps a hot group split.
+    heads = frozen.where(F.col(q) == 0).select(*[F.col(g).alias(f"_h{i}") for i, g in enumerate(group)]).distinct()
+    same = [F.col(g).eqNullSafe(F.col(f"_h{i}")) for i, g in enumerate(group)]
+    sizes = (frozen.join(F.broadcast(heads), same, "left_semi")
+             .groupBy(p, *group).agg(F.count(F.lit(1)).alias("_n")))
+    before = Window.partitionBy(*group).orderBy(p).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (sizes.withColumn("_off", F.sum("_n").over(before)).where(F.col("_off") > 0)
+               .select(F.col(p).alias("_op"), "_off", *[F.col(g).alias(f"_h{i}") for i, g in enumerate(group)]))
+    place = F.row_number().over(Window.partitionBy(p, *group).orderBy(q)) - 1
+    joined = frozen.withColumn("_place", place).join(
+        F.broadcast(offsets), [F.col(p) == F.col("_op"), *same], "left")
+    return joined.select(*df.columns, (F.coalesce("_off", F.lit(0)) + F.col("_place") + F.lit(start))
+                         .cast("long").alias(out))

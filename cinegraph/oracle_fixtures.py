@@ -12,8 +12,13 @@ FX_ITEM = """fx_item AS (
   FROM part)"""
 
 FX_ACTOR = """fx_actor AS (
-  SELECT DISTINCT l_partkey AS mid, l_suppkey AS aid FROM lineitem
-  WHERE l_linenumber = 1 AND l_quantity > 45)"""
+  SELECT DISTINCT l_partkey AS mid,
+         l_suppkey * 1000 + (l_orderkey % 20) * 50 + CAST(l_quantity AS BIGINT) - 1 AS aid FROM lineitem
+  WHERE l_partkey % 5 <> 0)"""
+
+CREDIT_NAMES = """(SELECT DISTINCT l_partkey AS mid, s_name || '/' ||
+         CAST((l_orderkey % 20) * 50 + CAST(l_quantity AS BIGINT) - 1 AS VARCHAR) AS actor_name
+       FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE l_partkey % 5 <> 0)"""
 
 FX_RATING = """fx_rating AS (
   SELECT o_custkey AS uid, l_partkey AS mid, o_orderdate AS time,
@@ -29,7 +34,7 @@ FX_BRIDGE = """fx_bridge AS (
   SELECT mid, 'a' AS role, CAST(aid AS VARCHAR) AS pid FROM fx_actor
   UNION ALL SELECT id AS mid, 'd' AS role, director AS pid FROM fx_item)"""
 
-FX_MOVIE_RAW = """fx_movie_raw AS (
+FX_MOVIE_RAW = f"""fx_movie_raw AS (
   SELECT row_number() OVER (ORDER BY p_partkey, l_returnflag, l_linestatus) - 1 AS row_ord,
          p_type || '-' || l_linestatus AS genre, actor, 'D' || CAST(p_size % 25 AS VARCHAR) AS district,
          p_brand || '-' || CAST(p_size AS VARCHAR) AS director, 'T' || l_returnflag AS trait,
@@ -38,9 +43,8 @@ FX_MOVIE_RAW = """fx_movie_raw AS (
          p_name || '#' || CAST(p_partkey AS VARCHAR) AS name
   FROM part
   JOIN (SELECT DISTINCT l_partkey, l_returnflag, l_linestatus FROM lineitem) f ON f.l_partkey = p_partkey
-  LEFT JOIN (SELECT mid, string_agg(s_name, '|' ORDER BY s_name) AS actor
-             FROM (SELECT DISTINCT l_partkey AS mid, s_name FROM lineitem JOIN supplier ON s_suppkey = l_suppkey
-                   WHERE l_linenumber = 1 AND l_quantity > 45) x GROUP BY mid) a ON a.mid = p_partkey)"""
+  LEFT JOIN (SELECT mid, string_agg(actor_name, '|' ORDER BY actor_name) AS actor
+             FROM {CREDIT_NAMES} x GROUP BY mid) a ON a.mid = p_partkey)"""
 
 FX_RATING_RAW = """fx_rating_raw AS (
   SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity) - 1 AS row_ord,
@@ -53,7 +57,7 @@ FX_RATING_RAW = """fx_rating_raw AS (
 FX_EVENT = """fx_event AS (
   SELECT event_id, ts, user_id AS uid, CAST(regexp_replace(props, '[^0-9]', '', 'g') AS INT) AS mid,
          CAST(least(10, 1 + floor(value / 50)) AS INT) AS rating
-  FROM events WHERE event_type = 'purchase')"""
+  FROM events)"""
 
 
 def with_ctes(*ctes: str) -> str:

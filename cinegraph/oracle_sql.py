@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from .oracle_fixtures import (FX_ACTOR, FX_BRIDGE, FX_EVENT, FX_ITEM, FX_LATEST, FX_MOVIE_RAW, FX_RATING,
+from .plans.models import ALS_REGS
+from .oracle_fixtures import (CREDIT_NAMES, FX_ACTOR, FX_BRIDGE, FX_EVENT, FX_ITEM, FX_LATEST, FX_MOVIE_RAW, FX_RATING,
                               FX_RATING_RAW,
                               with_ctes)
 
@@ -39,6 +40,16 @@ ORACLE["latest_rating"] = with_ctes(FX_RATING, FX_LATEST) + "SELECT uid, mid, ti
 ORACLE["related_movies"] = _RECALL_BASE + "SELECT uid, mid FROM related"
 ORACLE["recall_stage1"] = _RECALL_BASE + "SELECT uid, CAST(pos AS BIGINT) AS pos, mid FROM s1"
 ORACLE["recall"] = _RECALL_BASE + "SELECT uid, pos, mid FROM recall_out"
+ORACLE["recall_all_users"] = _RECALL_BASE + """, everyone AS (
+  SELECT uid, pos, mid FROM recall_out
+  UNION ALL SELECT c_custkey, CAST(rk.rnk - 1 AS BIGINT), rk.mid FROM customer JOIN ranked rk ON rk.rnk <= 50
+  WHERE c_custkey NOT IN (SELECT uid FROM fx_latest))
+SELECT uid, pos, mid FROM everyone"""
+ORACLE["recommend_by_score"] = _RECALL_BASE + """, scored AS (
+  SELECT uid, mid, ((uid * 31 + mid * 17) % 1000) / CAST(100 AS DOUBLE) AS prediction FROM recall_out),
+best AS (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY prediction DESC, mid) - 1 AS pos FROM scored)
+SELECT b.uid, CAST(b.pos AS BIGINT) AS pos, b.mid, i.name, i.rating, b.prediction
+FROM best b JOIN fx_item i ON i.id = b.mid WHERE b.pos < 3"""
 ORACLE["top_popular"] = with_ctes(FX_ITEM) + """
 SELECT rnk AS rank, mid, rating FROM (
   SELECT id AS mid, rating, row_number() OVER (ORDER BY rating DESC, id) AS rnk FROM fx_item) t
@@ -124,7 +135,7 @@ latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uid, mid ORD
 
 
 def _names(bridge, ids, idcol, order):
-    return (f"coalesce((SELECT string_agg(n.name, '|' ORDER BY {order}) FROM {bridge} x "
+    return (f"coalesce((SELECT string_agg(CAST(n.id AS VARCHAR) || ':' || n.name, '|' ORDER BY {order}) FROM {bridge} x "
             f"JOIN {ids} n ON n.id = x.{idcol} WHERE x.mid = m.mid), '')")
 
 
@@ -169,10 +180,29 @@ FROM {src}"""
 
 ORACLE["page_movies"] = _CATALOG + _paged("(SELECT mid AS id, name, rating FROM movies) t", "name, rating")
 ORACLE["page_users"] = _INTERACTIONS + _paged("users", "name")
+ORACLE["page_actors"] = _CATALOG + _paged("actor_ids", "name")
+ORACLE["page_directors"] = _CATALOG + _paged("director_ids", "name")
 ORACLE["home"] = _CATALOG + """
-SELECT 'movie' AS kind, mid AS id, name FROM movies WHERE mid < 4
-UNION ALL SELECT 'actor', id, name FROM actor_ids WHERE id < 4
-UNION ALL SELECT 'director', id, name FROM director_ids WHERE id < 4"""
+SELECT 'movie' AS kind, mid AS id, name, rating FROM movies WHERE mid < 4
+UNION ALL SELECT 'actor', id, name, NULL FROM actor_ids WHERE id < 4
+UNION ALL SELECT 'director', id, name, NULL FROM director_ids WHERE id < 4"""
+ORACLE["movie_rejects"] = with_ctes(FX_MOVIE_RAW) + """
+SELECT genre, actor, district, director, trait, rating, CAST(NULL AS VARCHAR) AS name FROM fx_movie_raw
+WHERE CAST(split_part(name, '#', -1) AS BIGINT) % 50 = 0"""
+ORACLE["catalog_dense_ids"] = with_ctes(FX_MOVIE_RAW, """
+kept AS (SELECT * FROM fx_movie_raw WHERE CAST(split_part(name, '#', -1) AS BIGINT) % 50 <> 0),
+firsts AS (SELECT name, min(row_ord) AS k, arg_min(district, row_ord) AS district FROM kept GROUP BY name)
+""") + """
+SELECT 'movie' AS kind, row_number() OVER (ORDER BY k) - 1 AS id, name FROM firsts
+UNION ALL SELECT 'genre', row_number() OVER (ORDER BY min(row_ord)) - 1, genre FROM kept GROUP BY genre
+UNION ALL SELECT 'district', row_number() OVER (ORDER BY min(k)) - 1, district FROM firsts GROUP BY district"""
+ORACLE["published_movies"] = _CATALOG + """
+SELECT m.mid AS id, m.name, d.id AS district, m.rating
+FROM movies m LEFT JOIN district_ids d ON d.name = m.district"""
+ORACLE["published_preview"] = _INTERACTIONS + "SELECT id, name FROM users WHERE id < 20"
+ORACLE["append_ratings"] = _INTERACTIONS + "," + FX_EVENT + """
+SELECT id, uid, mid, time, rating FROM rating
+UNION ALL SELECT (SELECT max(id) FROM rating) + row_number() OVER (ORDER BY ts, uid, mid), uid, mid, ts, rating FROM fx_event"""
 
 # ---- M1 / F8 / A8 -----------------------------------------------------------
 _SPLIT = _INTERACTIONS + """,
@@ -187,6 +217,25 @@ ORACLE["rmse_mean_baseline"] = _SPLIT + """
 SELECT round(sqrt(avg(pow(t.rating - m.mu, 2))), 6) AS rmse
 FROM test_warm t CROSS JOIN (SELECT avg(rating) AS mu FROM train) m"""
 
+ORACLE["libsvm_roundtrip"] = _SPLIT + """
+SELECT CAST(rating AS DOUBLE) AS label, uid, mid, CAST(2 AS DOUBLE) AS ones FROM test_warm"""
+
+
+def _damped(algo, key, first):
+    return f"""
+SELECT '{algo}' AS algo, g.reg, {first} + g.i AS run_ord,
+       round(sqrt(avg(pow(t.rating - s.s / (s.n + g.reg), 2))), 9) AS rmse
+FROM test_warm t JOIN (SELECT {key}, sum(rating) AS s, count(*) AS n FROM train GROUP BY {key}) s ON s.{key} = t.{key}
+CROSS JOIN (SELECT unnest(range({len(_REGS)})) AS i, CAST(unnest({_REGS}) AS DOUBLE) AS reg) g
+GROUP BY g.reg, g.i"""
+
+
+_REGS = sorted({float(r) for r in ALS_REGS})
+ORACLE["model_report"] = _SPLIT + f""", runs AS ({_damped('movie_mean', 'mid', 0)}
+UNION ALL {_damped('user_mean', 'uid', len(_REGS))}),
+best AS (SELECT *, row_number() OVER (PARTITION BY algo ORDER BY rmse, run_ord) AS rn FROM runs)
+SELECT algo, CAST(0 AS INT) AS rank, CAST(0 AS INT) AS max_iter, reg, rmse FROM best WHERE rn = 1"""
+
 # ---- X8 / ST1-ST3 -----------------------------------------------------------
 RAW_EVENT = """raw_event AS (
   SELECT event_id, ts, user_id AS uid, json_extract_string(props, '$.k') AS mid_text,
@@ -216,9 +265,8 @@ SELECT uid, pos, mid FROM recall_out WHERE uid IN (SELECT uid FROM fx_event)"""
 ORACLE["catalog_from_csv"] = ORACLE["catalog_movie"]
 ORACLE["interactions_from_csv"] = ORACLE["interactions_rating"]
 ORACLE["crawl_normalised"] = with_ctes("""casts AS (
-  SELECT mid, string_agg(s_name, '|' ORDER BY s_name) AS casts
-  FROM (SELECT DISTINCT l_partkey AS mid, s_name FROM lineitem JOIN supplier ON s_suppkey = l_suppkey
-        WHERE l_linenumber = 1 AND l_quantity > 45) x GROUP BY mid)""") + """
+  SELECT mid, string_agg(actor_name, '|' ORDER BY actor_name) AS casts
+  FROM """ + CREDIT_NAMES + """ x GROUP BY mid)""") + """
 SELECT p_brand || '-' || CAST(p_size AS VARCHAR) AS directors,
        CASE WHEN p_size % 10 = 0 THEN 0.0 ELSE ((p_partkey * 37) % 1000) / CAST(100 AS DOUBLE) END AS rate,
        p_name || '#' || CAST(p_partkey AS VARCHAR) AS title, coalesce(c.casts, '') AS casts,
@@ -226,3 +274,18 @@ SELECT p_brand || '-' || CAST(p_size AS VARCHAR) AS directors,
        ['美国', '香港', '台湾', '日本', '韩国', '英国', '法国'][CAST(p_size % 7 + 1 AS INT)] AS country,
        ['经典', '青春', '文艺', '搞笑', '励志', '魔幻', '感人', '女性', '黑帮'][CAST(p_partkey % 9 + 1 AS INT)] AS genres
 FROM part LEFT JOIN casts c ON c.mid = p_partkey"""
+ORACLE["append_csv"] = ORACLE["crawl_normalised"].replace("SELECT p_brand", "SELECT * FROM (SELECT p_brand", 1) + """
+) x CROSS JOIN (SELECT unnest([1, 2])) twice(n)"""
+ORACLE["append_csv"] = ORACLE["append_csv"].replace("SELECT * FROM (", "SELECT x.* FROM (", 1)
+ORACLE["crawl_rejects"] = """
+SELECT p_partkey AS start, CASE p_partkey % 10 WHEN 3 THEN '{"data":[{"directors":["x'
+         WHEN 7 THEN '<html>busy</html>' ELSE '{"message":"none"}' END AS body
+FROM part WHERE p_partkey % 10 IN (3, 7, 9)
+UNION ALL SELECT count(*), 'rows kept' FROM part WHERE p_partkey % 10 NOT IN (3, 5, 7, 9)"""
+ORACLE["crawl_tokens"] = r"""
+SELECT p_partkey AS id, array_to_string(regexp_extract_all(
+  '{''rate'': ''' || CAST(p_size % 10 AS VARCHAR) || '.5'', ''title'': ''' ||
+  ['美国', '香港', '台湾', '日本', '韩国', '英国', '法国'][CAST(p_size % 7 + 1 AS INT)] || '：经典 ' || p_brand || ' ' ||
+  CAST(p_partkey AS VARCHAR) || ''', ''casts'': [''徐峥'', ''周-杰·伦'']}',
+  '\d\.\d|[\p{L}\p{N}_]+(?:[ ，\-：·！。？()][\p{L}\p{N}_]*)*'), '|') AS tokens
+FROM part"""

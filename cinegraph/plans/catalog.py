@@ -39,6 +39,7 @@ class Catalog:
     movie_genre: DataFrame    # mid, gid
     movie_trait: DataFrame    # mid, tid
     names: dict               # dimension -> (id, name)
+    rejects: DataFrame        # raw rows without a movie name
 
     def bridge(self, dim: str) -> DataFrame:
         """(id, mid) distinct pairs of a dimension."""
@@ -67,8 +68,10 @@ def build_catalog(raw: DataFrame, sep: str = "|") -> Catalog:
 
     All six id families are assigned in one grouped dense-index pass over their
     first-seen keys (kind, name, key), key = (row_ord, list position)."""
-    raw = materialize(raw.select("row_ord", "genre", "actor", "district", "director", "trait",
-                                 "rating", "name"), "catalog-raw")
+    staged = materialize(raw.select("row_ord", "genre", "actor", "district", "director", "trait",
+                                    "rating", "name"), "catalog-raw")
+    rejects = staged.where(F.col("name").isNull())
+    raw = staged.where(F.col("name").isNotNull())
     # one row per movie (its first row); read by five branches below, so written once
     first = materialize(first_per_key(raw, ["name"], ["row_ord"],
                                       ["row_ord", "actor", "district", "director", "rating"]),
@@ -81,7 +84,7 @@ def build_catalog(raw: DataFrame, sep: str = "|") -> Catalog:
         return first.select("name", "row_ord", F.posexplode(split_list(col, sep)).alias("pos", "pname"))
 
     def first_seen(df, kind, col, k):
-        return df.groupBy(F.col(col).alias("name")).agg(F.min(k).alias("k")).select(
+        return df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("name")).agg(F.min(k).alias("k")).select(
             F.lit(kind).alias("kind"), "name", "k")
 
     keys = (first.select(F.lit("movie").alias("kind"), "name", key().alias("k"))
@@ -117,6 +120,7 @@ def build_catalog(raw: DataFrame, sep: str = "|") -> Catalog:
         movie_director=people("director", "director", "did"),
         movie_genre=all_rows("genre", "genre", "gid"), movie_trait=all_rows("trait", "trait", "tid"),
         names={k: names(k) for k in DIMENSIONS},
+        rejects=rejects,
     )
 
 

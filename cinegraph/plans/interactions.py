@@ -27,8 +27,7 @@ from ..session import materialize
 class Interactions:
     rating: DataFrame    # id, uid, mid, time, rating
     user: DataFrame      # id, name
-    rejects: DataFrame   # raw rows naming unknown movies
-    resolved: DataFrame  # raw rows with uid, mid
+    rejects: DataFrame   # raw rows naming unknown movies or no user
 
 
 class UnknownMovieError(ValueError):
@@ -39,9 +38,11 @@ def build_interactions(raw: DataFrame, movie: DataFrame, strict: bool = False) -
     """raw(row_ord, rating, name, time, uid, movie); movie(id, name, rating)."""
     raw = raw.select("row_ord", "rating", "name", "time", "uid", "movie")
     names = movie.select(F.col("id").alias("mid"), F.col("name").alias("movie"))
-    rejects = raw.join(names, "movie", "left_anti")
+    nameless = raw.where(F.col("name").isNull())
+    raw = raw.where(F.col("name").isNotNull())
+    rejects = raw.join(names, "movie", "left_anti").unionByName(nameless)
     if strict and not rejects.isEmpty():
-        raise UnknownMovieError("rating rows name movies missing from the catalog")
+        raise UnknownMovieError("rating rows name no user, or movies missing from the catalog")
     resolved = raw.join(names, "movie").select("row_ord", F.col("name").alias("uname"), "mid", "time", "rating")
     resolved = materialize(resolved, "interactions-resolved")
 
@@ -60,9 +61,8 @@ def build_interactions(raw: DataFrame, movie: DataFrame, strict: bool = False) -
     rated = ids.where(F.col("kind") == "rating")
     rating = rated.join(users.withColumnRenamed("name", "uname"), "uname").select(
         "id", "uid", "mid", "time", "rating")
-    with_uid = resolved.join(users.withColumnRenamed("name", "uname"), "uname")
     return Interactions(rating=rating, user=users.select(F.col("uid").alias("id"), "name"),
-                        rejects=rejects, resolved=with_uid)
+                        rejects=rejects)
 
 
 def user_rows(inter: Interactions, movie: DataFrame) -> DataFrame:

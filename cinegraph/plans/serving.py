@@ -26,35 +26,30 @@ def lookup(table: DataFrame, requests: DataFrame, key: str = "id", req_key: str
     return table.join(req, key, "left_semi")
 
 
-def exclude(table: DataFrame, banned: DataFrame, keys) -> DataFrame:
-    """NOT IN as a left anti join."""
-    return table.join(banned.select(*keys), list(keys), "left_anti")
-
-
-def _names_in_order(bridge: DataFrame, names: DataFrame, idcol: str, pos: str | None) -> DataFrame:
-    """(mid, list of names) in list position (or id) order; '|'-joined."""
-    pairs = bridge.join(names.withColumnRenamed("id", idcol), idcol)
-    order = F.struct(F.col(pos) if pos else F.col(idcol), F.col(idcol), F.col("name"))
-    return pairs.groupBy("mid").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(order)), lambda s: s["name"]), "|").alias("v"))
-
-
 def movie_detail(cat: Catalog) -> DataFrame:
-    """Every movie with district name (J1) and the names of its actors and
-    directors (list order), traits and genres (id order) (J3)."""
-    m = cat.movie
+    """Every movie with district name (J1) and, as arrays of (id, name), its actors
+    and directors (list order), traits and genres (id order) (J3).  One tagged union and
+    one aggregation on the movie; a movie's lists are bounded by its raw rows' cells."""
+    bridges = {"actors": (cat.movie_actor, "aid", "pos", "actor"),
+               "directors": (cat.movie_director, "did", "pos", "director"),
+               "traits": (cat.movie_trait, "tid", None, "trait"),
+               "genres": (cat.movie_genre, "gid", None, "genre")}
+    tagged = None
+    for kind, (bridge, idcol, pos, dim) in bridges.items():
+        rows = bridge.join(cat.names[dim].withColumnRenamed("id", idcol), idcol).select(
+            "mid", F.lit(kind).alias("kind"), (F.col(pos).cast("long") if pos else F.col(idcol)).alias("pos"),
+            F.col(idcol).alias("id"), "name")
+        tagged = rows if tagged is None else tagged.unionByName(rows)
+
+    def listed(kind):
+        found = F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.struct("pos", "id", "name"))))
+        return F.transform(found, lambda s: F.struct(s["id"].alias("id"), s["name"].alias("name"))).alias(kind)
+    lists = tagged.groupBy("mid").agg(*[listed(kind) for kind in bridges]).withColumnRenamed("mid", "_mid")
     district = cat.names["district"].select(F.col("id").alias("district"), F.col("name").alias("district_name"))
-    parts = {
-        "actors": _names_in_order(cat.movie_actor, cat.names["actor"], "aid", "pos"),
-        "directors": _names_in_order(cat.movie_director, cat.names["director"], "did", "pos"),
-        "traits": _names_in_order(cat.movie_trait, cat.names["trait"], "tid", None),
-        "genres": _names_in_order(cat.movie_genre, cat.names["genre"], "gid", None),
-    }
-    out = m.join(district, "district", "left")
-    for name, df in parts.items():
-        out = out.join(df.withColumnRenamed("mid", "id").withColumnRenamed("v", name), "id", "left")
-    return out.select("id", "name", "rating", F.col("district_name").alias("district"),
-                      *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("actors", "directors", "traits", "genres")])
+    none = F.array().cast("array<struct<id:bigint,name:string>>")
+    return (cat.movie.join(district, "district", "left").join(lists, F.col("id") == F.col("_mid"), "left")
+            .select("id", "name", "rating", F.col("district_name").alias("district"),
+                    *[F.coalesce(F.col(kind), none).alias(kind) for kind in bridges]))
 
 
 def latest_ratings(rating: DataFrame) -> DataFrame:
@@ -96,9 +91,9 @@ def paged(table: DataFrame, cols, page_size: int = PAGE_SIZE) -> DataFrame:
     """Every row with its page (dense ids: page = id div size) and the
     page's navigation flags: previous when page > 0, next when the page is full."""
     t = table.select("id", *cols).withColumn("page", F.floor(F.col("id") / page_size).cast("bigint"))
-    sizes = t.groupBy("page").agg(F.count(F.lit(1)).alias("n"))
-    return t.join(sizes, "page").select(
-        "page", "id", *cols, (F.col("page") > 0).alias("has_prev"), (F.col("n") == page_size).alias("has_next"))
+    count = table.select(F.count(F.lit(1))).scalar()      # ids are dense: a page is full if the table reaches its end
+    return t.select("page", "id", *cols, (F.col("page") > 0).alias("has_prev"),
+                    ((F.col("page") + 1) * page_size <= count).alias("has_next"))
 
 
 def page_of(table: DataFrame, page_no: int, cols, page_size: int = PAGE_SIZE) -> DataFrame:
@@ -107,9 +102,12 @@ def page_of(table: DataFrame, page_no: int, cols, page_size: int = PAGE_SIZE) ->
 
 
 def home(cat: Catalog, per_kind: int = 4) -> DataFrame:
-    """First ``per_kind`` rows of page 0 for movies, actors, directors."""
-    parts = [("movie", cat.movie), ("actor", cat.names["actor"]), ("director", cat.names["director"])]
-    frames = [page_of(df, 0, ["name"]).limit(per_kind).select(F.lit(k).alias("kind"), "id", "name")
+    """First ``per_kind`` rows of page 0 for movies (with their rating), actors
+    and directors."""
+    no_rating = F.lit(None).cast("double").alias("rating")
+    parts = [("movie", cat.movie), ("actor", cat.names["actor"].select("*", no_rating)),
+             ("director", cat.names["director"].select("*", no_rating))]
+    frames = [page_of(df, 0, ["name", "rating"]).limit(per_kind).select(F.lit(k).alias("kind"), "id", "name", "rating")
               for k, df in parts]
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
 

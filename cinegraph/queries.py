@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import schemas
 from .functions.lists import join_list
 from .operators.ids import dense_index
 from .operators.latest import latest_per_key
+from .operators.topk import global_top_k
 from .plans import catalog as cg
 from .plans import interactions as it
 from .plans import models as md
@@ -25,6 +27,7 @@ from .streaming import ratings as st
 from .sources import crawl as cw
 from .sources import driver_tables as dt
 from .sources import files as fl
+from .sources import tables as tb
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -67,8 +70,17 @@ def q_recall(spark, sf_dir):
 
 @query("top_popular")
 def q_top_popular(spark, sf_dir):
-    ranked = rc.rank_items(dt.fx_item(spark, sf_dir))
-    return ranked.where(F.col("rank") <= 50).select("rank", "mid", "rating")
+    best = global_top_k(dt.fx_item(spark, sf_dir), [F.col("rating").desc(), F.col("id").asc()], 50)
+    place = F.row_number().over(Window.orderBy(F.col("rating").desc(), F.col("id").asc()))   # 50 rows
+    return best.select(place.cast("long").alias("rank"), F.col("id").alias("mid"), "rating")
+
+
+@query("recall_all_users")
+def q_recall_all_users(spark, sf_dir):
+    """C8 for every customer, also those without ratings (they get the global list)."""
+    users = dt.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("uid"))
+    r = rc.recall(fixture_latest(spark, sf_dir), dt.fx_item(spark, sf_dir), dt.fx_bridge(spark, sf_dir), users=users)
+    return r.select("uid", F.col("pos").cast("long").alias("pos"), "mid")
 
 
 def fixture_catalog(spark: SparkSession, sf_dir: str) -> cg.Catalog:
@@ -130,7 +142,31 @@ def q_etl_summary(spark, sf_dir):
 
 @query("movie_detail")
 def q_movie_detail(spark, sf_dir):
-    return sv.movie_detail(fixture_catalog(spark, sf_dir))
+    detail = sv.movie_detail(fixture_catalog(spark, sf_dir))
+    pair = lambda p: F.concat(p["id"].cast("string"), F.lit(":"), p["name"])
+    return detail.select("id", "name", "rating", "district", *[
+        join_list(F.transform(c, pair)).alias(c) for c in ("actors", "directors", "traits", "genres")])
+
+
+@query("movie_rejects")
+def q_movie_rejects(spark, sf_dir):
+    """C1's rejects: raw rows whose name is missing (here: of every 50th movie)."""
+    raw = dt.fx_movie_raw(spark, sf_dir).withColumn(
+        "name", F.when(F.col("row_ord.p_partkey") % 50 != 0, F.col("name")))
+    return cg.build_catalog(raw).rejects.select("genre", "actor", "district", "director", "trait", "rating", "name")
+
+
+@query("catalog_dense_ids")
+def q_catalog_dense_ids(spark, sf_dir):
+    """W2 with missing names, genres and districts in the raw rows: ids stay 0..n-1."""
+    missing = F.col("row_ord.p_partkey") % 50 == 0
+    raw = dt.fx_movie_raw(spark, sf_dir)
+    raw = raw.select("row_ord", "actor", "director", "trait", "rating",
+                     *[F.when(~missing, F.col(c)).alias(c) for c in ("genre", "district", "name")])
+    cat = cg.build_catalog(raw)
+    parts = [("movie", cat.movie.select("id", "name"))] + [(d, cat.names[d]) for d in ("genre", "district")]
+    frames = [df.select(F.lit(k).alias("kind"), "id", "name") for k, df in parts]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
 
 @query("movies_by_request")
@@ -175,6 +211,16 @@ def q_page_users(spark, sf_dir):
     return sv.paged(inter.user, ["name"])
 
 
+@query("page_actors")
+def q_page_actors(spark, sf_dir):
+    return sv.paged(fixture_catalog(spark, sf_dir).names["actor"], ["name"])
+
+
+@query("page_directors")
+def q_page_directors(spark, sf_dir):
+    return sv.paged(fixture_catalog(spark, sf_dir).names["director"], ["name"])
+
+
 @query("home")
 def q_home(spark, sf_dir):
     return sv.home(fixture_catalog(spark, sf_dir))
@@ -237,40 +283,96 @@ def q_recommend(spark, sf_dir):
 def q_fm_scores(spark, sf_dir):
     """M5 + M8: factorization machine on one-hot (uid, mid), scores for warm test."""
     _, _, train, test = fixture_split(spark, sf_dir)
-    _, pred = md.fit_fm(train, test, rank=8, epochs=10, reg=0.01)
-    return pred.select("id", "uid", "mid", "rating", "prediction")
-
-
-def _small_grid_results(spark, sf_dir):
-    _, _, train, test = fixture_split(spark, sf_dir)
-    train = train.cache()
-    path = scratch_path(spark, "grid-results")
-    als_pts = md.grid(spark, "als", (10, 20), (10,), (0.2, 0.8))
-    md.grid_search(spark, als_pts, path, md.als_evaluator(train, test))
-    fm_pts = md.grid(spark, "fm", (8,), (10,), (0.01, 0.1))
-    return md.grid_search(spark, fm_pts, path, md.fm_evaluator(train, test))
+    model = md.fit_fm(train, rank=8, epochs=10, reg=0.01)
+    return model.transform(test).select("id", "uid", "mid", "rating", "prediction")
 
 
-@query("als_grid")
-def q_als_grid(spark, sf_dir):
-    """M4/M7/K7: a resumable grid search (a small sub-grid of the reference's)."""
-    return _small_grid_results(spark, sf_dir)
+@query("recommend_by_score")
+def q_recommend_by_score(spark, sf_dir):
+    """W4 + J5 over the recall lists with a fixed score: best 3 per user, name and rating."""
+    lists = q_recall(spark, sf_dir)
+    scored = lists.select("uid", "mid", (((F.col("uid") * 31 + F.col("mid") * 17) % 1000) / 100.0).alias("prediction"))
+    best = md.best_scored(scored, dt.fx_item(spark, sf_dir), 3)
+    return best.select("uid", F.col("pos").cast("long").alias("pos"), "mid", "name", "rating", "prediction")
 
 
 @query("model_report")
 def q_model_report(spark, sf_dir):
-    """Best parameters per algorithm."""
-    return md.model_report(_small_grid_results(spark, sf_dir))
+    """C11 / A9 over the held-out RMSE (A8) of damped user and movie means, one run per
+    damping value of the ALS grid."""
+    _, _, train, test = fixture_split(spark, sf_dir)
+    regs = sorted({float(r) for r in md.ALS_REGS})
+    runs = None
+    for first, (algo, key) in zip((0, len(regs)), (("movie_mean", "mid"), ("user_mean", "uid")), strict=True):
+        sums = train.groupBy(key).agg(F.sum("rating").alias("s"), F.count(F.lit(1)).alias("n"))
+        scored = (test.join(sums, key).select("rating", "s", "n", F.posexplode(F.array(*map(F.lit, regs))).alias("i", "reg"))
+                  .withColumn("prediction", F.col("s") / (F.col("n") + F.col("reg"))))
+        rows = scored.groupBy("i", "reg").agg(
+            F.round(F.sqrt(F.avg(F.pow(F.col("rating") - F.col("prediction"), 2))), 9).alias("rmse"))
+        part = rows.select(F.lit(algo).alias("algo"), F.lit(0).alias("rank"), F.lit(0).alias("max_iter"), "reg", "rmse",
+                           (F.col("i") + first).cast("long").alias("run_ord"))
+        runs = part if runs is None else runs.unionByName(part)
+    return md.model_report(runs)
 
 
 @query("libsvm_roundtrip")
 def q_libsvm_roundtrip(spark, sf_dir):
-    """K6: the warm test set written as libsvm and read back."""
+    """K6: the warm test set written as libsvm, the lines read back and taken apart."""
     _, _, train, test = fixture_split(spark, sf_dir)
     nu, nm = md.id_space(train, test)
     path = scratch_path(spark, "libsvm")
     md.export_libsvm(test, path, nu, nm)
-    return spark.read.format("libsvm").option("numFeatures", nu + nm).load(path)
+    at = F.split("value", "[ :]")                     # label, user index, 1, movie index, 1
+    return spark.read.text(path).select(
+        at[0].cast("double").alias("label"), (at[1].cast("long") - 1).alias("uid"),
+        (at[3].cast("long") - 1 - nu).alias("mid"), (at[2].cast("double") + at[4].cast("double")).alias("ones"))
+
+
+CHECK_DB = "cinegraph_check"
+
+
+def _published(spark: SparkSession, name: str) -> str:
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {CHECK_DB}")
+    return f"{CHECK_DB}.{name}"
+
+
+@query("published_movies")
+def q_published_movies(spark, sf_dir):
+    """K1/K2 + S4/S6: the movie table published, refreshed and scanned back."""
+    table = _published(spark, "movie")
+    tb.publish(cg.movie_table(fixture_catalog(spark, sf_dir)), table, schemas.MOVIE)
+    tb.refresh(spark, table)
+    return tb.scan(spark, table, "id", "name", "district", "rating")
+
+
+@query("published_preview")
+def q_published_preview(spark, sf_dir):
+    """The first 20 rows of a published table."""
+    table = _published(spark, "user_preview")
+    tb.publish(fixture_interactions(spark, sf_dir)[1].user, table)
+    return tb.preview(spark, table, 20)
+
+
+@query("append_ratings")
+def q_append_ratings(spark, sf_dir):
+    """K3, batch form: the event feed appended to the published ratings."""
+    table = _published(spark, "rating")
+    tb.publish(fixture_interactions(spark, sf_dir)[1].rating, table, schemas.RATING)
+    feed = dt.fx_event(spark, sf_dir).select("uid", "mid", "rating", F.col("ts").alias("time"))
+    tb.append_ratings(spark, table, feed)
+    return tb.scan(spark, table)
+
+
+@query("append_csv")
+def q_append_csv(spark, sf_dir):
+    """K4: the crawl rows appended twice to a header-less CSV folder and read back."""
+    path, bodies = scratch_path(spark, "append-csv"), scratch_path(spark, "crawl")
+    fixture_crawl_responses(spark, sf_dir).write.json(bodies)
+    rows, _ = fl.normalise_crawl(fl.read_crawl_responses(spark, bodies))
+    for _ in range(2):
+        tb.append_csv(rows, path)
+    back = spark.read.schema(schemas.CRAWL_ROW).option("emptyValue", "").option("nullValue", "\u0000").csv(path)
+    return back.select(*[f.name for f in schemas.CRAWL_ROW.fields])
 
 
 def fixture_raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -281,12 +383,12 @@ def fixture_raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.floor(F.col("value") / 25).cast("bigint").cast("string").alias("rating_text"))
 
 
-def _event_files(df: DataFrame, name: str, files: int = 4, newest_first: bool = True) -> str:
-    """Write a derived event frame as ``files`` parquet files (by time range) to
-    the shared scratch folder, to be streamed."""
+def _event_files(df: DataFrame, name: str, rows_per_file: int = 1_000_000) -> str:
+    """Write a derived event frame as parquet files by time range, newest first, to the
+    shared scratch folder, to be streamed: four files, more when the data need them."""
     path = scratch_path(df.sparkSession, name)
-    order = F.col("ts").desc() if newest_first else F.col("ts").asc()
-    df.repartitionByRange(files, order).write.parquet(path)
+    files = max(4, -(-df.count() // rows_per_file))
+    df.repartitionByRange(files, F.col("ts").desc()).write.parquet(path)
     return path
 
 
@@ -335,7 +437,9 @@ def _stream_refresh(spark: SparkSession, sf_dir: str, with_model: bool = False):
 
     rescore = None
     if with_model:
-        model = md.load_or_train(spark, scratch_path(spark, "als-model"), base.select("uid", "mid", "rating"))
+        path, rows = scratch_path(spark, "als-model"), base.select("uid", "mid", "rating")
+        md.load_or_train(spark, path, rows)
+        model = md.load_or_train(spark, path, rows)          # S7: loaded from what K5 saved
         rescore = lambda lists: md.recommend(model, lists, items, 3)
     st.run_refresh(spark, src, out, ck, recall_for, log, rescore, recs)
     return out, recs
@@ -364,10 +468,8 @@ def fixture_crawl_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     combination in id order, then one empty page per combination (the crawler's
     stop signal).  A movie whose size is a multiple of 10 has no ``rate``."""
     p = dt.table(spark, sf_dir, "part")
-    s = dt.table(spark, sf_dir, "supplier")
-    casts = (dt._cast_lines(spark, sf_dir).join(s, F.col("l_suppkey") == s.s_suppkey)
-             .select(F.col("l_partkey").alias("mid"), "s_name").distinct()
-             .groupBy("mid").agg(F.array_sort(F.collect_list("s_name")).alias("casts")))
+    casts = dt.credit_names(spark, sf_dir).groupBy(F.col("a_mid").alias("mid")).agg(
+        F.array_sort(F.collect_list("actor_name")).alias("casts"))
     countries = F.array(*[F.lit(x) for x in cw.CRAWL_COUNTRIES])
     tags = F.array(*[F.lit(x) for x in cw.GENRES_TAGS])
     movies = p.join(casts, casts.mid == p.p_partkey, "left").select(
@@ -398,7 +500,37 @@ def q_crawl_normalised(spark, sf_dir):
     """S3: crawl responses (written as JSON lines, read back) -> movie rows."""
     path = scratch_path(spark, "crawl")
     fixture_crawl_responses(spark, sf_dir).write.json(path)
-    return fl.normalise_crawl(fl.read_crawl_responses(spark, path))
+    return fl.normalise_crawl(fl.read_crawl_responses(spark, path))[0]
+
+
+@query("crawl_rejects")
+def q_crawl_rejects(spark, sf_dir):
+    """S3's rejects: truncated and HTML bodies; good and empty ones are none."""
+    key = F.col("p_partkey")
+    good = F.to_json(F.struct(F.array(F.struct(F.array(F.col("p_brand")).alias("directors"), F.lit("7.0").alias("rate"),
+                                               F.col("p_name").alias("title"))).alias("data")))
+    body = (F.when(key % 10 == 3, F.lit('{"data":[{"directors":["x'))
+            .when(key % 10 == 5, F.lit('{"data":[]}')).when(key % 10 == 7, F.lit("<html>busy</html>"))
+            .when(key % 10 == 9, F.lit('{"message":"none"}')).otherwise(good))
+    responses = dt.table(spark, sf_dir, "part").select(
+        *[F.lit(v).alias(c) for c, v in (("form", cw.CRAWL_FORM), ("Type", cw.CRAWL_TYPE), ("country", "x"),
+                                         ("genres", "y"))], key.alias("start"), body.alias("body"))
+    path = scratch_path(spark, "crawl-bodies")
+    responses.write.json(path)
+    rows, rejects = fl.normalise_crawl(fl.read_crawl_responses(spark, path))
+    return rejects.select("start", "body").unionByName(
+        rows.groupBy().agg(F.count(F.lit(1)).alias("start")).select("start", F.lit("rows kept").alias("body")))
+
+
+@query("crawl_tokens")
+def q_crawl_tokens(spark, sf_dir):
+    """The tokens of payload texts with Chinese words and inner separators."""
+    p = dt.table(spark, sf_dir, "part")
+    countries = F.array(*[F.lit(x) for x in cw.CRAWL_COUNTRIES])
+    text = F.concat(F.lit("{'rate': '"), (F.col("p_size") % 10).cast("string"), F.lit(".5', 'title': '"),
+                    F.element_at(countries, (F.col("p_size") % 7 + 1).cast("int")), F.lit("：经典 "), F.col("p_brand"),
+                    F.lit(" "), F.col("p_partkey").cast("string"), F.lit("', 'casts': ['徐峥', '周-杰·伦']}"))
+    return p.select(F.col("p_partkey").alias("id"), F.array_join(fl.crawl_tokens(text), "|").alias("tokens"))
 
 
 @query("catalog_from_csv")

@@ -12,7 +12,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -66,10 +68,41 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf
 
 
+_OWNED: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/cinegraph/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/cinegraph/{name}-{uuid.uuid4().hex}"
+    if _OWNED:
+        _OWNED[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Removes, at its end, the scratch folders handed out inside: for a job or a
+    micro-batch whose results are written elsewhere by then."""
+    _OWNED.append([])
+    try:
+        yield
+    finally:
+        for path in _OWNED.pop():
+            jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+            jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there; any other trouble (permissions, an unreachable
+    store) raises instead of looking like an absent path."""
+    try:
+        spark.read.format("binaryFile").load(path)
+        return True
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
 
 
 def materialize(df, name: str = "stage"):

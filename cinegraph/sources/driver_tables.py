@@ -47,15 +47,31 @@ def fx_item(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _cast_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    return li.where((F.col("l_linenumber") == 1) & (F.col("l_quantity") > 45))
+#: actors per supplier: the credit of a line is one of so many actors of its supplier
+ACTORS_PER_SUPPLIER = 1000
+
+
+def _credits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(mid, l_suppkey, code): every line credits one of its supplier's actors, told apart
+    by order and quantity.  A movie whose key is a multiple of 5 has no cast (an item-side
+    rule)."""
+    code = (F.col("l_orderkey") % 20) * 50 + F.col("l_quantity").cast("bigint") - 1
+    return table(spark, sf_dir, "lineitem").where(F.col("l_partkey") % 5 != 0).select(
+        F.col("l_partkey").alias("mid"), "l_suppkey", code.alias("code"))
+
+
+def credit_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(a_mid, actor_name), distinct."""
+    s = table(spark, sf_dir, "supplier")
+    return _credits(spark, sf_dir).distinct().join(s, F.col("l_suppkey") == s.s_suppkey).select(
+        F.col("mid").alias("a_mid"),
+        F.concat(F.col("s_name"), F.lit("/"), F.col("code").cast("string")).alias("actor_name"))
 
 
 def fx_actor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bridge (mid, aid); some movies have no actor."""
-    return _cast_lines(spark, sf_dir).select(
-        F.col("l_partkey").alias("mid"), F.col("l_suppkey").alias("aid")).distinct()
+    return _credits(spark, sf_dir).select(
+        "mid", (F.col("l_suppkey") * ACTORS_PER_SUPPLIER + F.col("code")).alias("aid")).distinct()
 
 
 def fx_rating(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +96,7 @@ RATING_EVENT_ORDER = ["time", "okey", "line", "skey", "price"]
 
 
 def fx_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Movie-person bridge (mid, role, pid): actors ('a', supplier key) and
+    """Movie-person bridge (mid, role, pid): actors ('a', actor key) and
     directors ('d', brand-size name).  pid is a string so both roles share a column."""
     actors = fx_actor(spark, sf_dir).select(
         "mid", F.lit("a").alias("role"), F.col("aid").cast("string").alias("pid"))
@@ -96,13 +112,9 @@ def fx_movie_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     li = table(spark, sf_dir, "lineitem")
     flags = li.select("l_partkey", "l_returnflag", "l_linestatus").distinct()
-    s = table(spark, sf_dir, "supplier")
-    cast_rows = (_cast_lines(spark, sf_dir)
-                 .join(s, F.col("l_suppkey") == s.s_suppkey)
-                 .select(F.col("l_partkey").alias("a_mid"), "s_name").distinct())
     # the raw format carries a movie's whole cast in one '|'-joined cell
-    casts = cast_rows.groupBy("a_mid").agg(
-        F.array_join(F.array_sort(F.collect_list("s_name")), "|").alias("actor"))
+    casts = credit_names(spark, sf_dir).groupBy("a_mid").agg(
+        F.array_join(F.array_sort(F.collect_list("actor_name")), "|").alias("actor"))
     rows = p.join(flags, flags.l_partkey == p.p_partkey).join(
         casts, F.col("a_mid") == F.col("p_partkey"), "left")
     return rows.select(
@@ -143,9 +155,9 @@ def fx_rating_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_event(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Live rating feed: purchase events as (event_id, ts, uid, mid, rating)."""
+    """Live rating feed: every event as (event_id, ts, uid, mid, rating)."""
     e = table(spark, sf_dir, "events")
-    return e.where(F.col("event_type") == "purchase").select(
+    return e.select(
         "event_id", "ts", F.col("user_id").alias("uid"),
         F.get_json_object("props", "$.k").cast("int").alias("mid"),
         F.least(F.lit(10), 1 + F.floor(F.col("value") / 50)).cast("int").alias("rating"),

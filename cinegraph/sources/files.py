@@ -48,28 +48,38 @@ def read_rating_csv(spark: SparkSession, path: str, header: bool = True,
     return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT), df.where(F.col(CORRUPT).isNotNull())
 
 
-def normalise_crawl(responses: DataFrame, body: str = "body") -> DataFrame:
-    """S3 (+X2, X10): crawl responses -> one row per movie.
+def normalise_crawl(responses: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
+    """S3 (+X2, X10): crawl responses -> (one row per movie, rejected responses).
 
     ``responses`` has the request facets (form, Type, country, genres) and the
     response text in ``body`` ({"data": [{directors, rate, title, casts, cover}]}).
-    Lists are joined with '|', a missing rate is 0, empty payloads give no row."""
-    parsed = responses.select("form", "Type", "country", "genres",
-                              F.from_json(F.col(body), schemas.CRAWL_RESPONSE).alias("r"))
-    items = parsed.select("form", "Type", "country", "genres", F.explode("r.data").alias("m"))
-    return items.select(
+    Lists are joined with '|', a missing rate is 0 and an unreadable one null.  A body
+    that is no such object (truncated, HTML, null) is a reject with all its columns;
+    only an empty data list gives neither."""
+    bad = "_malformed"
+    schema = T.StructType(schemas.CRAWL_RESPONSE.fields + [T.StructField(bad, T.StringType())])
+    parsed = responses.withColumn("_r", F.from_json(
+        F.col(body), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad}))
+    broken = F.col("_r").isNull() | F.col(f"_r.{bad}").isNotNull() | F.col("_r.data").isNull()
+    items = parsed.where(~broken).select("form", "Type", "country", "genres", F.explode("_r.data").alias("m"))
+    rate = F.col("m.rate")
+    rows = items.select(
         join_list(F.col("m.directors")).alias("directors"),
-        F.coalesce(F.col("m.rate").try_cast("double"), F.lit(0.0)).alias("rate"),
+        F.when(rate.isNull() | (F.trim(rate) == ""), F.lit(0.0)).otherwise(rate.try_cast("double")).alias("rate"),
         F.col("m.title").alias("title"),
         join_list(F.col("m.casts")).alias("casts"),
         "form", "Type", "country", "genres")
+    return rows, parsed.where(broken).drop("_r")
+
+
+#: fixed value: the tokens of a payload, a one-decimal number or words joined by single separators
+TOKEN_PATTERN = r"(?U)\d\.\d|\w+(?:[ ，\-：·！。？()]\w*)*"
 
 
 def crawl_tokens(body) -> F.Column:
-    """X3 raw form: the reference's tokenisation of a payload (a one-decimal number
-    or a run of word characters), as an array of matches."""
+    """X3 raw form: a payload's tokens, as an array of matches (Unicode words)."""
     body = F.col(body) if isinstance(body, str) else body
-    return F.regexp_extract_all(body, F.lit(r"(\d\.\d|\w+)"), 1)
+    return F.regexp_extract_all(body, F.lit(TOKEN_PATTERN), 0)
 
 
 def read_crawl_responses(spark: SparkSession, path: str) -> DataFrame:

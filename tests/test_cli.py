@@ -16,6 +16,10 @@ def test_etl_recall_recommend(spark):
     try:
         cli.etl(spark, mpath, rpath)
         assert spark.table("movie").schema == fl.schemas.MOVIE
+        assert spark.table("user").columns == ["id", "name"] and spark.table("genre").columns == ["id", "name"]
+        assert sorted((r["id"], r["mid"]) for r in spark.table("user_movies").collect()) == [(0, 0), (1, 1), (1, 2), (2, 1)]
+        cli.etl(spark, mpath, rpath, arrays=True)
+        assert spark.table("genre").schema == fl.schemas.DIMENSION
         assert sorted((r["id"], r["movies"]) for r in spark.table("user").collect()) == [(0, [0]), (1, [1, 2]),
                                                                                          (2, [1])]
         assert spark.table("rating_rejects").count() == 1

@@ -78,7 +78,24 @@ def test_strict_rejects(spark):
     cat = cg.build_catalog(movie_raw(spark))
     with pytest.raises(it.UnknownMovieError):
         it.build_interactions(rating_raw(spark), cat.movie, strict=True)
-    assert F  # keep import
+
+
+def test_rows_without_a_name_take_no_ids(spark):
+    raw = movie_raw(spark)
+    first = raw.orderBy("row_ord").first()["name"]
+    broken = raw.withColumn("name", F.when(F.col("name") != first, F.col("name"))) \
+        .withColumn("genre", F.when(F.col("genre") != "喜剧", F.col("genre")))
+    cat = cg.build_catalog(broken)
+    n = raw.select("name").distinct().count() - 1
+    assert [r["id"] for r in cat.movie.orderBy("id").collect()] == list(range(n))
+    assert cat.rejects.count() == raw.where(F.col("name") == first).count()
+    for dim in cg.DIMENSIONS:
+        rows = cat.names[dim].orderBy("id").collect()
+        assert [r["id"] for r in rows] == list(range(len(rows))) and all(r["name"] is not None for r in rows), dim
+    ratings = rating_raw(spark).withColumn("name", F.when(F.col("name") != "ann", F.col("name")))
+    inter = it.build_interactions(ratings, cg.build_catalog(raw).movie)
+    assert [r["id"] for r in inter.user.orderBy("id").collect()] == [0, 1]
+    assert {r["name"] for r in inter.rejects.collect()} == {None, "cy"}
 
 
 def test_empty_stage1_can_exclude_rated(spark):

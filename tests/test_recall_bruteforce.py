@@ -13,8 +13,8 @@ def _python_recall(size=50):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     items = dict(con.execute("SELECT p_partkey, ((p_partkey * 37) % 1000) / 100.0 FROM part").fetchall())
     director = dict(con.execute("SELECT p_partkey, p_brand || '-' || CAST(p_size AS VARCHAR) FROM part").fetchall())
-    actors = con.execute("SELECT DISTINCT l_partkey, l_suppkey FROM lineitem "
-                         "WHERE l_linenumber = 1 AND l_quantity > 45").fetchall()
+    actors = con.execute("SELECT DISTINCT l_partkey, l_suppkey * 1000 + (l_orderkey % 20) * 50 "
+                         "+ CAST(l_quantity AS BIGINT) - 1 FROM lineitem WHERE l_partkey % 5 <> 0").fetchall()
     rows = con.execute("SELECT o_custkey, l_partkey, o_orderdate, l_orderkey, l_linenumber, l_suppkey, "
                        "l_extendedprice, CAST(ceil(l_quantity / 5) AS BIGINT) FROM lineitem JOIN orders "
                        "ON l_orderkey = o_orderkey").fetchall()

@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from cinegraph.sources import crawl as cw
 from cinegraph.sources import files as fl
 from cinegraph.sources import tables as tb
@@ -15,11 +13,23 @@ def test_crawl_sample(spark):
            '{"directors":[],"title":"M9","casts":[],"cover":"y"}]}'
     req = spark.createDataFrame([("电影", "喜剧", "美国", "经典", body), ("电影", "喜剧", "美国", "经典", '{"data":[]}')],
                                 "form string, Type string, country string, genres string, body string")
-    got = sorted(tuple(r) for r in fl.normalise_crawl(req).collect())
+    rows, rejects = fl.normalise_crawl(req)
+    got = sorted(tuple(r) for r in rows.collect())
+    assert rejects.count() == 0
     assert got == [("", 0.0, "M9", "", "电影", "喜剧", "美国", "经典"),
                    ("B", 7.0, "M2", "A|徐峥", "电影", "喜剧", "美国", "经典")]
 
 
+def test_crawl_rejects_malformed_bodies(spark):
+    bodies = ['{"data":[{"directors":["B"],"rate":"x","title":"M2","casts":[]}]}', '{"data":[{"directors":["B"', "<html/>",
+              '{"data":[]}', None]
+    req = spark.createDataFrame([("f", "T", "c", "g", b) for b in bodies],
+                                "form string, Type string, country string, genres string, body string")
+    rows, rejects = fl.normalise_crawl(req)
+    assert [(r["title"], r["rate"]) for r in rows.collect()] == [("M2", None)]
+    assert {r["body"] for r in rejects.collect()} == {bodies[1], bodies[2], None}
+
+
 def test_facet_grid(spark):
     g = cw.facet_grid(spark)
     assert g.count() == 7 * 9
@@ -55,12 +65,12 @@ def test_publish_and_append(spark):
     assert got == [(0, 0, 8), (1, 1, 3)]
     assert tb.preview(spark, "rating", 1).first()["id"] == 0
     spark.catalog.setCurrentDatabase("default")
-    assert F
 
 
 def test_crawl_tokens(spark):
-    df = spark.createDataFrame([("{'rate': '7.0', 'title': 'M2'}",)], "body string")
-    assert df.select(fl.crawl_tokens("body").alias("t")).first()["t"] == ["rate", "7.0", "title", "M2"]
+    df = spark.createDataFrame([("{'rate': '7.0', 'title': 'M 2：续集', 'casts': ['徐峥', '周-杰·伦']}",)], "body string")
+    assert df.select(fl.crawl_tokens("body").alias("t")).first()["t"] == [
+        "rate", "7.0", "title", "M 2：续集", "casts", "徐峥", "周-杰·伦"]
 
 
 def test_append_csv_and_publish_all(spark):

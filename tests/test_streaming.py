@@ -1,5 +1,6 @@
 """ST1-ST2: stream = batch, files delivered newest first; ingest ids continue."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from cinegraph import queries as Q
@@ -33,3 +34,35 @@ def test_ingest_validates_and_numbers(spark):
     assert ids == list(range(100, 100 + len(ids)))
     assert rows.where("rating < 1 OR rating > 10").count() == 0
     assert rows.count() + spark.read.parquet(rej).count() == raw.count()
+
+
+def test_ids_go_on_over_batches_and_never_restart(spark, tmp_path):
+    raw = Q.fixture_raw_events(spark, SF001)
+    src, out = str(tmp_path / "src"), str(tmp_path / "rating")
+    raw.repartition(3).write.parquet(src)
+    st.ingest(spark, src, out, str(tmp_path / "bad"), str(tmp_path / "ck"), max_files=1)
+    rows = spark.read.parquet(out)
+    assert sorted(r["id"] for r in rows.select("id").collect()) == list(range(rows.count()))
+    n = rows.count()
+    assert st.next_id(spark, out, 3) == n and st.next_id(spark, out, 0, lambda: 41) == 42
+    marks = tmp_path / "rating_marks"
+    for f in (marks / "batch=2").glob("part-*"):
+        f.write_bytes(b"broken")
+    for f in (marks / "batch=2").glob(".part-*"):
+        f.unlink()
+    with pytest.raises(Exception):  # noqa: B017 - an unreadable mark is no empty one
+        st.next_id(spark, out, 3)
+    assert st.next_id(spark, str(tmp_path / "nothing"), 0) == 0
+    marks.rename(tmp_path / "moved")
+    with pytest.raises(RuntimeError):
+        st.next_id(spark, out, 3)
+
+
+def test_scratch_of_a_batch_goes_with_it(spark):
+    from cinegraph.session import materialize, path_exists, scratch_scope
+    with scratch_scope(spark):
+        path = scratch_path(spark, "t-gone")
+        materialize(spark.range(3), "t-inner")
+        spark.range(3).write.parquet(path)
+        assert path_exists(spark, path)
+    assert not path_exists(spark, path)
