@@ -36,11 +36,11 @@ _GRID = 1 << 20
 class Settings:
     bits: int = 18
     max_per_class: int = 6000
-    epochs: int = 3
-    alpha: float = 0.15
+    epochs: int = 6
+    alpha: float = 2.0
     beta: float = 1.0
-    l1: float = 1.0
-    l2: float = 1.0
+    l1: float = 5.0
+    l2: float = 0.1
     seed: int = 7
 
 
