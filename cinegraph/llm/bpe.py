@@ -33,6 +33,7 @@ PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-ɏ]*")
 _ODD = re.compile(r"^\s| \s| $")
 _CUT = re.compile(r" (?=\S)")
 _PRE_TOKENS = regex.compile(PATTERN).findall
+_MARKS = frozenset(".,;:!?")
 
 
 def byte_letters() -> list[str]:
@@ -85,6 +86,9 @@ class Pieces(dict):
         self.update(self.known)
 
     def __missing__(self, key: str):
+        if key[-1:] in _MARKS and key[:-1].isalpha():
+            # a word and a mark: not kept, so that the table is left to the words
+            return self.join((self[key[:-1]], self.without_space(key[-1])))
         value = self.merge(" " + key) if key.isalpha() and PLAIN.fullmatch(key) else self.cut(" " + key)
         if len(key) <= 64:
             if len(self) >= self.most:
