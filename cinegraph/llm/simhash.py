@@ -26,11 +26,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import LOWER, texts
+from .common import LOWER, fresh, texts
 from .components import components
 
 SEED = 42
@@ -56,13 +56,20 @@ def fingerprint(text: str, shingle_words: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = 4) -> DataFrame:
-    """(doc_id, fp): one row per document row; fp is the fingerprint as a signed long."""
+    """(doc_id, place, fp): one row per document row; place is a hash of id and text, fp the
+    fingerprint as a signed long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.fromiter((fingerprint(t, shingle_words) for t in texts(b.column(1))), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            fps = np.fromiter((fingerprint(t, shingle_words) for t in texts(b.column(2))), np.uint64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64))],
+                                             names=["doc_id", "place", "fp"])
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp long")
+    return docs.select("doc_id", row_place(), "text").mapInArrow(run, f"doc_id {kind}, place long, fp long")
+
+
+def row_place() -> Column:
+    """What tells document rows apart: equal for rows of equal id and text."""
+    return F.xxhash64("doc_id", "text").alias("place")
 
 
 def masks(max_bits: int, blocks: int) -> list[int]:
@@ -220,18 +227,39 @@ def hamming_links(codes: DataFrame, max_bits: int = 4, blocks: int | None = None
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4, blocks: int | None = None,
                     chunk: int = 4096) -> DataFrame:
-    """(doc_id, fp, component_id), one row per document row.
+    """(doc_id, place, fp, component_id, kept), one row per document row.
 
     component_id is the smallest doc_id reachable over links of at most ``max_bits``
-    differing bits.  Null and empty texts have fingerprint zero and link like any other.
-    Rows repeated with one doc_id keep one output row each; a null doc_id keeps its row
-    and takes its component's smallest doc_id (null if there is none).  Only ``doc_id``
-    and ``text`` are read, so extra columns cannot clash.  An empty table gives none."""
+    differing bits.  kept marks one document of each group, the one with that id (of
+    several, and without ids, the smallest ``place``; a row repeated as a whole is marked
+    each time).  Null and empty texts have fingerprint zero and link like any other.  A
+    null doc_id keeps its row and takes its component's smallest doc_id (null if there is
+    none).  Only ``doc_id`` and ``text`` are read, so extra columns cannot clash.  An
+    empty table gives none."""
     fps = materialize(fingerprints(docs, shingle_words), "fingerprints")
-    distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    found = components(hamming_links(distinct, max_bits, blocks, chunk))
+    choice = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "place")
+    distinct = materialize(fps.groupBy("fp").agg(F.min(choice).alias("best")), "distinct-fingerprints")
+    found = components(hamming_links(distinct.select("fp"), max_bits, blocks, chunk))
     joined = distinct.join(found, distinct.fp == found.node, "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component"))
-    classes = joined.groupBy("component").agg(F.min("least").alias("component_id"))
-    members = joined.join(classes, "component").select("fp", "component_id")
-    return fps.join(members, "fp").select("doc_id", "fp", "component_id")
+        "fp", "best", F.coalesce("component", "fp").alias("component"))
+    classes = joined.groupBy("component").agg(F.min("best").alias("least"))
+    members = joined.join(classes, "component").select(
+        "fp", F.col("least.doc_id").alias("component_id"), F.col("least.place").alias("first_place"))
+    return fps.join(members, "fp").select(
+        "doc_id", "place", "fp", "component_id", (F.col("place") == F.col("first_place")).alias("kept"))
+
+
+def keep_one(docs: DataFrame, **how) -> DataFrame:
+    """The kept document of each group of near duplicates, with all its columns; a row
+    repeated as a whole (same id and text) stays once.
+
+    Rows to drop are anti-joined by their place; only repeated rows are gathered."""
+    found = materialize(near_duplicates(docs, **how), "near-duplicates")
+    mark, of = fresh(docs, "row_place", "drop_place")
+    rows = docs.withColumn(mark, row_place())
+    repeated = (found.where("kept").groupBy("place").count().where("count > 1").select(F.col("place").alias(of)))
+    repeated = materialize(repeated, "repeated-rows")
+    drop = materialize(found.where("not kept").select(F.col("place").alias(of)).distinct().union(repeated), "dropped")
+    single = rows.join(drop, F.col(mark) == F.col(of), "left_anti")
+    again = rows.join(repeated, F.col(mark) == F.col(of), "left_semi").dropDuplicates([mark])
+    return single.unionByName(again).drop(mark)

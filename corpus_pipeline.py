@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinegraph.llm import decontamination, mixing, simhash, token_files, toxicity
-from cinegraph.llm.common import fresh, hashed_fold, table
+from cinegraph.llm.common import hashed_fold, table
 from cinegraph.llm.queries import END_ID, tokenizer_path
 from cinegraph.session import materialize, scratch_path
 
@@ -21,13 +21,8 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id (with a
-    null id only if no other is there).  Rows repeated with that id stay one row."""
-    found = simhash.near_duplicates(docs)
-    mark = fresh(docs, "kept_id")[0]
-    keep = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(mark)).distinct()
-    kept = docs.join(materialize(keep, "kept-documents"), F.col("doc_id") == F.col(mark)).drop(mark)
-    return kept.dropDuplicates(["doc_id"])
+    """One document of each group of near duplicates: the one with the smallest id."""
+    return simhash.keep_one(docs)
 
 
 def benchmark_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

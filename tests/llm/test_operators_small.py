@@ -214,9 +214,14 @@ def test_simhash(docs, empty):
     expect = [(r[0], fp - (1 << 64) if fp >> 63 else fp, least.get(ids[i])) for i, (r, fp) in
               enumerate(zip(data, fps, strict=True))]
     for chunk in (4096, 2):
-        found = simhash.near_duplicates(docs, chunk=chunk)
+        found = simhash.near_duplicates(docs, chunk=chunk).select("doc_id", "fp", "component_id")
         assert sorted_rows(found.collect()) == sorted_rows(expect)
-    assert simhash.near_duplicates(empty).count() == 0
+    assert simhash.near_duplicates(empty).count() == 0 and simhash.keep_one(empty).count() == 0
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert len(got) == len(set(got)) == len(set(ids.values()))
+    assert sorted(d for d, _ in got if d is not None) == sorted(v for v in least.values())
 
 
 @pytest.mark.parametrize("n,flips", [(3, 1), (16, 2), (17, 4), (300, 3), (700, 6)])
