@@ -68,12 +68,13 @@ def fit(docs: DataFrame, train: Column, max_per_language: int = 2000, seed: int
 
     ``train`` is a condition over ``doc_id``; rows with a null lang or text are not used.
     Of a language with more rows a hash-chosen share of about ``max_per_language`` is."""
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & train)
+    known = docs.where(F.col("lang").isNotNull() & train)
     share = known.groupBy("lang").agg(
         (F.least(F.lit(1.0), max_per_language / F.count(F.lit(1))) * _GRID).alias("share"))
     place = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(_GRID))
-    rows = (known.select("lang", "text", place.alias("place")).join(share, "lang")
-            .where(F.col("place") < F.col("share")).select("lang", "text"))
+    # one row per language, as many as the prototypes held and broadcast below
+    rows = (known.select("lang", "text", place.alias("place")).join(F.broadcast(share), "lang")
+            .where((F.col("place") < F.col("share")) & F.col("text").isNotNull()).select("lang", "text"))
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
