@@ -422,22 +422,26 @@ def _stream_refresh(spark: SparkSession, sf_dir: str, with_model: bool = False):
     recommendations (C9).  Returns the output folders (lists, recommendations)."""
     items, bridge = dt.fx_item(spark, sf_dir), dt.fx_bridge(spark, sf_dir)
     ranked = materialize(rc.rank_items(items), "ranked-items")
-    base = dt.fx_rating(spark, sf_dir)
+    raw = dt.fx_rating(spark, sf_dir)
+    order = dt.RATING_EVENT_ORDER
+    base = latest_per_key(raw, ["uid", "mid"], order, ["rating", *order]).select("uid", "mid", "rating", *order)
+    base_path = scratch_path(spark, "base-ratings")
+    st.write_by_user(base, base_path)                     # read by the touched users' buckets
     src = _event_files(dt.fx_event(spark, sf_dir), "events")
     out, recs, ck, log = (scratch_path(spark, n) for n in ("refresh", "refresh-recs", "refresh-ckpt", "event-log"))
 
     def recall_for(users: DataFrame, event_log: str) -> DataFrame:
-        seen = spark.read.schema(st.EVENT_SCHEMA).parquet(event_log)
+        seen = st.read_users(spark, event_log, users, st.EVENT_SCHEMA)
         ev = seen.select("uid", F.col("mid").cast("long").alias("mid"), F.col("ts").alias("time"),
                          F.col("rating").cast("long").alias("rating"), F.col("event_id").alias("okey"),
                          F.lit(0).alias("line"), F.lit(0).cast("long").alias("skey"), F.lit(0.0).alias("price"))
-        rows = base.unionByName(ev).join(users, "uid", "left_semi")
-        latest = latest_per_key(rows, ["uid", "mid"], dt.RATING_EVENT_ORDER, ["rating"])
+        rows = st.read_users(spark, base_path, users, base.schema).unionByName(ev)
+        latest = latest_per_key(rows, ["uid", "mid"], order, ["rating"])
         return rc.recall(latest, items, bridge, ranked=ranked)
 
     rescore = None
     if with_model:
-        path, rows = scratch_path(spark, "als-model"), base.select("uid", "mid", "rating")
+        path, rows = scratch_path(spark, "als-model"), raw.select("uid", "mid", "rating")
         md.load_or_train(spark, path, rows)
         model = md.load_or_train(spark, path, rows)          # S7: loaded from what K5 saved
         rescore = lambda lists: md.recommend(model, lists, items, 3)

@@ -66,3 +66,18 @@ def test_scratch_of_a_batch_goes_with_it(spark):
         spark.range(3).write.parquet(path)
         assert path_exists(spark, path)
     assert not path_exists(spark, path)
+
+
+def test_refresh_reads_only_the_touched_users_buckets(spark, tmp_path):
+    rows = spark.range(2000).selectExpr("id % 200 AS uid", "id AS mid", "1L AS rating")
+    path, users = str(tmp_path / "by-user"), spark.createDataFrame([(7,), (42,)], "uid long")
+    st.write_by_user(rows, path)
+    found = st.read_users(spark, path, users, rows.schema)
+    assert sorted((r["uid"], r["mid"]) for r in found.collect()) == sorted(
+        (i % 200, i) for i in range(2000) if i % 200 in (7, 42))
+    files = {f.split("bucket=")[1].split("/")[0] for f in found.inputFiles()}
+    touched = {str(r["bucket"]) for r in users.select(st.user_bucket()).collect()}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket" in plan and touched <= files and len(touched) <= 2
+    scanned = spark.read.parquet(path).where(F.col("bucket").isin([int(b) for b in touched]))
+    assert scanned.count() < rows.count() / 10
