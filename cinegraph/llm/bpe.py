@@ -73,7 +73,7 @@ class Pieces(dict):
     and pre-tokens that no space precedes.  Both go back to what was ``known`` ahead when
     they hold ``most`` keys."""
 
-    def __init__(self, path: str, value: Callable, join: Callable, known: dict | None = None, most: int = 1_000_000):
+    def __init__(self, path: str, value: Callable, join: Callable, known: dict | None = None, most: int = 400_000):
         super().__init__()
         self.value, self.join, self.most = value, join, most
         self.tokenizer = load(path)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .bpe import encoder
 
-_SLICE_IDS = 2_000_000      # ids in one Arrow batch, about
+_SLICE_IDS = 500_000      # ids in one Arrow batch, about
 
 
 def _encode(tokenizer: str, end_id: int):
@@ -47,7 +47,7 @@ def _encode(tokenizer: str, end_id: int):
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, rows_per_index: int = 1000,
-                 stripe_bytes: int = 64 << 20) -> None:
+                 stripe_bytes: int = 32 << 20) -> None:
     """Write ``docs`` (``doc_id``, ``text``; other columns are not read) to ``path``.
 
     Null and empty texts are written with the end id alone; rows repeated with one id

@@ -48,7 +48,7 @@ class _Words(dict):
     """Word hashes, computed once; emptied when it has grown large."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), 1)
         return h
