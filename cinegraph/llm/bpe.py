@@ -73,7 +73,7 @@ class Pieces(dict):
     and pre-tokens that no space precedes.  Both go back to what was ``known`` ahead when
     they hold ``most`` keys."""
 
-    def __init__(self, path: str, value: Callable, join: Callable, known: dict | None = None, most: int = 400_000):
+    def __init__(self, path: str, value: Callable, join: Callable, known: dict | None = None, most: int = 1_000_000):
         super().__init__()
         self.value, self.join, self.most = value, join, most
         self.tokenizer = load(path)
@@ -145,11 +145,11 @@ def _id_bytes(ids: list[int]) -> bytes:
 _TABLES: dict[tuple, Pieces] = {}
 
 
-def encoder(path: str) -> Pieces:
+def encoder(path: str, most: int = 1_000_000) -> Pieces:
     """Text to its ids, as little-endian unsigned 32-bit bytes."""
-    if ("ids", path) not in _TABLES:
-        _TABLES["ids", path] = Pieces(path, _id_bytes, b"".join)
-    return _TABLES["ids", path]
+    if ("ids", path, most) not in _TABLES:
+        _TABLES["ids", path, most] = Pieces(path, _id_bytes, b"".join, most=most)
+    return _TABLES["ids", path, most]
 
 
 def counter(path: str, known: Iterable[str]) -> Pieces:

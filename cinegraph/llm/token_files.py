@@ -23,11 +23,11 @@ from .bpe import encoder
 _SLICE_IDS = 500_000      # ids in one Arrow batch, about
 
 
-def _encode(tokenizer: str, end_id: int):
+def _encode(tokenizer: str, end_id: int, pieces: int):
     names = ["part", "doc_id", "local_start", "n_tokens", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, at = encoder(tokenizer), TaskContext.get().partitionId(), 0
+        encode, part, at = encoder(tokenizer, pieces), TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u4").tobytes()
         for b in batches:
             lo, held, rows = 0, 0, []
@@ -47,17 +47,18 @@ def _encode(tokenizer: str, end_id: int):
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, rows_per_index: int = 1000,
-                 stripe_bytes: int = 32 << 20) -> None:
+                 stripe_bytes: int = 32 << 20, pieces: int = 1_000_000) -> None:
     """Write ``docs`` (``doc_id``, ``text``; other columns are not read) to ``path``.
 
     Null and empty texts are written with the end id alone; rows repeated with one id
     each keep a row, next to each other; null ids come last; an empty table writes an
-    empty folder of files.  Ids need less than 2**31 values."""
+    empty folder of files.  Ids need less than 2**31 values.  ``pieces`` bounds a worker's
+    table of encoded pieces (about 0.4 KB each): more is faster, the files are the same."""
     order = [F.col("doc_id").asc_nulls_last(), F.col("place")]
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = (docs.select("doc_id", "text", F.xxhash64("text").alias("place"))
             .repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
-            .mapInArrow(_encode(tokenizer, end_id),
+            .mapInArrow(_encode(tokenizer, end_id, pieces),
                         f"part int, doc_id {kind}, local_start long, n_tokens long, ids array<int>"))
     (rows.write.mode("overwrite")
      .option("compression", "none").option("orc.create.index", "true")

@@ -14,6 +14,9 @@ from cinegraph.llm.common import hashed_fold, table
 from cinegraph.llm.queries import END_ID, tokenizer_path
 from cinegraph.session import materialize, scratch_path
 
+#: a smaller piece table than op8's: the executors' memory still holds what earlier stages touched
+PIECES = 400_000
+
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
@@ -38,7 +41,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' token ids in ORC, read back: (doc_id, start, n_tokens, ids_crc32)."""
     path = scratch_path(spark, "pipeline-token-files")
-    token_files.write_tokens(docs, path, tokenizer_path(), END_ID)
+    token_files.write_tokens(docs, path, tokenizer_path(), END_ID, pieces=PIECES)
     return token_files.with_checksums(token_files.read_tokens(spark, path))
 
 
