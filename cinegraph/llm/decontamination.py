@@ -55,6 +55,11 @@ def _windows(rows: DataFrame, width: int, keep: list[str]) -> DataFrame:
             .select(*keep, F.posexplode_outer("every").alias("pos", "window")).where(F.col("window").isNotNull()))
 
 
+def _row_hash() -> Column:
+    """What a document is told apart by: its id and text."""
+    return F.xxhash64("doc_id", "text")
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 5, coverage: float = 0.5,
                        drift: int = 2) -> DataFrame:
     """(doc_id, item_id, n_windows, n_found, coverage, n_slots), one row per document id,
@@ -66,6 +71,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 5, co
     less than half are literal words count only if it has no others.  Null and empty
     texts match nothing; repeated rows (same id and text) give one row; null ids match
     like any other; other columns are not read; empty tables give an empty result."""
+    return _find(docs, benchmark, width, coverage, drift).drop("doc")
+
+
+def _find(docs: DataFrame, benchmark: DataFrame, width: int = 5, coverage: float = 0.5, drift: int = 2) -> DataFrame:
+    """The rows of ``find_contamination`` with the hash ``doc`` of the document's id and text."""
     items = (benchmark.where(F.col("text").isNotNull())
              .select("item_id", F.xxhash64("item_id", "text").alias("item"), tokens(F.col("text")).alias("words"))
              .dropDuplicates(["item"]))
@@ -80,7 +90,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 5, co
              .select("item", "window", "n_windows", F.col("pos").alias("item_pos"), "slots"))
     index = materialize(index, "benchmark-windows")
 
-    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("doc"), tokens(F.col("text")).alias("words"))
+    rows = docs.select("doc_id", _row_hash().alias("doc"), tokens(F.col("text")).alias("words"))
     hits = (_windows(rows, width, ["doc_id", "doc"]).join(index, "window")
             .withColumn("shift", F.col("pos") - F.col("item_pos"))
             .groupBy("doc", "item", "shift", "item_pos")
@@ -101,7 +111,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 5, co
         F.first("doc_id").alias("doc_id"), F.first("n_windows").alias("n_windows"),
         F.max("n_found").alias("n_found"), F.max("n_slots").cast("long").alias("n_slots"))
     return (matched.join(items.select("item", "item_id"), "item")
-            .select("doc_id", "item_id", F.col("n_windows").cast("long").alias("n_windows"),
+            .select("doc", "doc_id", "item_id", F.col("n_windows").cast("long").alias("n_windows"),
                     F.least("n_found", "n_windows").cast("long").alias("n_found"),
                     F.least(F.lit(1.0), F.col("n_found") / F.col("n_windows")).alias("coverage"), "n_slots"))
 
@@ -109,7 +119,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 5, co
 def _consistent(places: DataFrame, docs: DataFrame, items: DataFrame, drift: int) -> DataFrame:
     """The places whose slots agree; only documents with such places are read again."""
     wanted = places.select("doc").distinct()
-    words = (docs.select(F.xxhash64("doc_id", "text").alias("doc"), "text").join(wanted, "doc", "left_semi")
+    words = (docs.select(_row_hash().alias("doc"), "text").join(wanted, "doc", "left_semi")
              .dropDuplicates(["doc"]).select("doc", tokens(F.col("text")).alias("there")))
     slots = (places.select("doc", "item", "shift").join(items.select("item", "words"), "item")
              .select("doc", "item", "shift", F.posexplode("words").alias("at", "original"))
@@ -128,5 +138,5 @@ def _consistent(places: DataFrame, docs: DataFrame, items: DataFrame, drift: int
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """The rows of ``docs`` in which no benchmark item is found, with all their columns."""
     mark = fresh(docs, "contaminated_doc")[0]
-    found = find_contamination(docs, benchmark, **how).select(F.col("doc_id").alias(mark)).distinct()
-    return docs.join(materialize(found, "contaminated"), F.col("doc_id").eqNullSafe(F.col(mark)), "left_anti")
+    found = _find(docs, benchmark, **how).select(F.col("doc").alias(mark)).distinct()
+    return docs.join(materialize(found, "contaminated"), _row_hash() == F.col(mark), "left_anti")

@@ -422,5 +422,14 @@ def test_decontamination(spark, docs, empty):
     assert decontamination.find_contamination(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_removes_rows_not_ids(spark):
+    item = "which of the seven old bridges over this river was built before the great fire of that year"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    clean = [(None, "a clean text without an id"), (7, "a clean text of id seven"), (None, None), (7, "")]
+    docs = spark.createDataFrame(clean + [(None, item), (7, "so " + item), (8, item)], "doc_id long, text string")
+    kept = decontamination.remove_contaminated(docs, bench).collect()
+    assert sorted_rows(kept) == sorted_rows(clean)
+
+
 def test_kept_digest_rule():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
