@@ -98,14 +98,16 @@ def _find(docs: DataFrame, benchmark: DataFrame, width: int = 5, coverage: float
                  F.first("slots").alias("slots")))
     places = (hits.groupBy("doc", "item", "shift")
               .agg(F.first("doc_id").alias("doc_id"), F.first("n_windows").alias("n_windows"),
-                   F.count(F.lit(1)).alias("n"), F.max("slots").alias("slots")))
+                   F.collect_set("item_pos").alias("matched"), F.max("slots").alias("slots")))
     near = Window.partitionBy("doc", "item").orderBy("shift").rangeBetween(-drift, drift)
-    best = (places.withColumn("n_found", F.sum("n").over(near)).withColumn("any_slots", F.max("slots").over(near))
+    best = (places.withColumn("n_found", F.sum(F.size("matched")).over(near))
+            .withColumn("any_slots", F.max("slots").over(near))
+            .withColumn("pooled", F.collect_list(F.struct(F.col("shift").alias("by"), "matched")).over(near))
             .where(F.col("n_found") >= F.lit(coverage) * F.col("n_windows")))
     found = materialize(best, "contamination-places")
 
     free = found.where("any_slots = 0").withColumn("n_slots", F.lit(0).cast("long"))
-    checked = _consistent(found.where("any_slots > 0"), docs, items, drift)
+    checked = _consistent(found.where("any_slots > 0"), docs, items, width)
     keep = ["doc", "item", "doc_id", "n_windows", "n_found", "n_slots"]
     matched = free.select(keep).union(checked.select(keep)).groupBy("doc", "item").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_windows").alias("n_windows"),
@@ -116,19 +118,25 @@ def _find(docs: DataFrame, benchmark: DataFrame, width: int = 5, coverage: float
                     F.least(F.lit(1.0), F.col("n_found") / F.col("n_windows")).alias("coverage"), "n_slots"))
 
 
-def _consistent(places: DataFrame, docs: DataFrame, items: DataFrame, drift: int) -> DataFrame:
-    """The places whose slots agree; only documents with such places are read again."""
+def _consistent(places: DataFrame, docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
+    """The places whose slots agree; only documents with such places are read again.
+
+    A slot is compared where a window over it matched, at that window's own shift (of
+    several, the one nearest to the place's); slots outside matched windows say nothing."""
     wanted = places.select("doc").distinct()
     words = (docs.select(_row_hash().alias("doc"), "text").join(wanted, "doc", "left_semi")
              .dropDuplicates(["doc"]).select("doc", tokens(F.col("text")).alias("there")))
-    slots = (places.select("doc", "item", "shift").join(items.select("item", "words"), "item")
-             .select("doc", "item", "shift", F.posexplode("words").alias("at", "original"))
-             .withColumn("type", canonical(F.col("original"))).where(F.col("type").startswith("<")))
-    pairs = (slots.join(words, "doc")
-             .withColumn("value", F.get("there", F.col("at") + F.col("shift")))
-             .where(canonical(F.col("value")) == F.col("type"))
-             .groupBy("doc", "item", "shift", "original")
-             .agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.lower("value")).alias("values")))
+    slots = (items.select("item", F.posexplode("words").alias("at", "original"))
+             .where(canonical(F.col("original")).startswith("<")))
+    matched = (places.select("doc", "item", "shift", F.explode("pooled").alias("p"))
+               .select("doc", "item", "shift", "p.by", F.explode("p.matched").alias("start"))
+               .select("doc", "item", "shift", "by", F.explode(F.sequence("start", F.col("start") + (width - 1))).alias("at"))
+               .groupBy("doc", "item", "shift", "at")
+               .agg(F.min_by("by", F.struct(F.abs(F.col("by") - F.col("shift")), "by")).alias("by")))
+    pairs = (matched.join(slots, ["item", "at"]).join(words, "doc")
+             .withColumn("value", F.lower(F.get("there", F.col("at") + F.col("by"))))
+             .groupBy("doc", "item", "shift", F.lower("original").alias("original"))
+             .agg(F.count(F.lit(1)).alias("n"), F.count_distinct("value").alias("values")))
     verdict = pairs.groupBy("doc", "item", "shift").agg(F.max("values").alias("most"), F.sum("n").alias("n_slots"))
     return (places.join(verdict, ["doc", "item", "shift"], "left")
             .where(F.coalesce("most", F.lit(1)) == 1)

@@ -431,5 +431,20 @@ def test_decontamination_removes_rows_not_ids(spark):
     assert sorted_rows(kept) == sorted_rows(clean)
 
 
+def test_decontamination_slots_beyond_an_inserted_word(spark):
+    names = ("yesterday the old teacher Anna Smith walked slowly along the quiet river and then "
+             "the same teacher Anna Smith read some short poems aloud to us")
+    numbers = "we paid 12 30 coins for the red lamp that stood there and again 12 30 coins for the blue one"
+    repeats = "then Anna met Boris and then Anna met Boris and then Anna met Boris and then all went home"
+    bench = spark.createDataFrame([(1, names), (2, numbers), (3, repeats)], "item_id long, text string")
+    wrong = names.replace("Anna Smith read", "Anna Jones read")
+    cases = [(1, names.replace("and then", "and very then")), (2, numbers.replace("that stood", "that once stood")),
+             (3, repeats), (4, wrong), (5, wrong.replace("and then", "and very then")),
+             (6, names.replace("quiet ", "")), (7, repeats.replace("Anna", "Clara").replace("Boris", "Dora"))]
+    docs = spark.createDataFrame([(i, "so it was that " + t) for i, t in cases], "doc_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontamination.find_contamination(docs, bench).collect()}
+    assert found == {(1, 1), (2, 2), (3, 3), (6, 1), (7, 3)}
+
+
 def test_kept_digest_rule():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
