@@ -3,7 +3,8 @@
 Words become tokens; numbers, names (capitalised words inside a sentence) and units
 (after a number) become typed placeholders, so a question with other parameters has the
 same template.  Windows of consecutive tokens of the benchmark items are hash-joined to
-the documents' windows.  Matches are gathered per document, item and alignment; an item
+the documents' windows, as templates and as plain lower-cased words (names are told by
+capitals, which a copy may have lost); either form is a match.  Matches are gathered per document, item and alignment; an item
 counts as found when enough of its windows lie in one place and its slots agree: within a
 place, one original value must always have been replaced by one and the same value.
 """
@@ -23,17 +24,19 @@ UNITS = ("kg g mg lb lbs oz km m cm mm mi ft in l ml s sec secs second seconds m
          "dollars euro euros cent cents usd eur percent mph kmh").split()
 
 _NAME, _UNIT = "\u0001", "\u0002"
+_SPACE = r"[\s\p{Z}\x1c-\x1f\x85]"
 _NUMBER = r"\p{N}++(?:[.,]\p{N}++)*+"
 _TOKEN = rf"[{_NAME}{_UNIT}]?(?:{_NUMBER}(?!\p{{L}})|[\p{{L}}\p{{N}}]+)"
 
 
 def tokens(text: Column) -> Column:
     """The words of a text in order, names and units marked by their first character."""
-    plain = F.translate(F.coalesce(text, F.lit("")), _NAME + _UNIT, "  ")
+    text = F.translate(F.coalesce(text, F.lit("")), _NAME + _UNIT, "  ")
+    text = F.regexp_replace(text, rf" {_SPACE}+|[{_SPACE}&&[^ ]]{_SPACE}*", " ")
+    units = F.regexp_replace(text, rf"(?<=\p{{N}} ?)(?=(?i:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}]))", _UNIT)
     # a capitalised word after a word or a comma (not after a sentence's end)
-    named = F.regexp_replace(plain, r"(?<=[\p{L}\p{N},;] )(?=\p{Lu}\p{Ll})", _NAME)
-    units = F.regexp_replace(named, rf"(?<=\p{{N}} ?)(?=(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}]))", _UNIT)
-    return F.regexp_extract_all(units, F.lit(_TOKEN), F.lit(0))
+    named = F.regexp_replace(units, r"(?<=[\p{L}\p{N},;] )(?=\p{Lu}\p{Ll})", _NAME)
+    return F.regexp_extract_all(named, F.lit(_TOKEN), F.lit(0))
 
 
 def canonical(token: Column) -> Column:
@@ -43,16 +46,30 @@ def canonical(token: Column) -> Column:
             .when(first.rlike(r"\p{N}") & token.rlike(f"^{_NUMBER}$"), F.lit("<number>")).otherwise(F.lower(token)))
 
 
+def plain(token: Column) -> Column:
+    """A token without its mark, in lower case."""
+    return F.translate(F.lower(token), _NAME + _UNIT, "")
+
+
 def _windows(rows: DataFrame, width: int, keep: list[str]) -> DataFrame:
-    """``keep`` columns, pos and window hash of every window of column ``words``."""
-    hashed = rows.select(*keep, F.transform("words", lambda t: F.xxhash64(canonical(t))).alias("codes"))
-    every = F.when(F.size("codes") >= width, F.transform(
-        F.sequence(F.lit(1), F.size("codes") - (width - 1)),
-        lambda i: F.xxhash64(*[F.element_at("codes", i + k) for k in range(width)])))
+    """``keep`` columns, pos, window hash and literal (0: template, 1: plain words) of every
+    window of column ``words``; the plain form only where it differs."""
+    hashed = rows.select(*keep, F.transform("words", lambda t: F.xxhash64(canonical(t))).alias("codes"),
+                         F.transform("words", lambda t: F.xxhash64(plain(t))).alias("plains"))
+
+    def every(codes: str) -> Column:
+        return F.when(F.size(codes) >= width, F.transform(
+            F.sequence(F.lit(1), F.size(codes) - (width - 1)),
+            lambda i: F.xxhash64(*[F.element_at(codes, i + k) for k in range(width)])))
+    both = hashed.select(*keep, every("codes").alias("every"), every("plains").alias("whole"))
+    forms = both.select(*keep, F.size("every").alias("n"), F.concat(
+        "every", F.zip_with("whole", "every", lambda w, e: F.when(w != e, w))).alias("forms"))
     # outer: an inner explode makes Catalyst filter on the array's size below the
     # projections, where it would compute ``codes`` again for every window
-    return (hashed.select(*keep, every.alias("every"))
-            .select(*keep, F.posexplode_outer("every").alias("pos", "window")).where(F.col("window").isNotNull()))
+    return (forms.select(*keep, "n", F.posexplode_outer("forms").alias("at", "window"))
+            .where(F.col("window").isNotNull())
+            .select(*keep, (F.col("at") % F.col("n")).alias("pos"), "window",
+                    (F.col("at") >= F.col("n")).cast("int").alias("literal")))
 
 
 def _row_hash() -> Column:
@@ -79,14 +96,14 @@ def _find(docs: DataFrame, benchmark: DataFrame, width: int = 5, coverage: float
     items = (benchmark.where(F.col("text").isNotNull())
              .select("item_id", F.xxhash64("item_id", "text").alias("item"), tokens(F.col("text")).alias("words"))
              .dropDuplicates(["item"]))
-    literal = F.transform("words", lambda t: canonical(t).rlike("^<").cast("int"))
-    items = materialize(items.withColumn("slot", literal), "benchmark-items")
+    slot = F.transform("words", lambda t: canonical(t).rlike("^<").cast("int"))
+    items = materialize(items.withColumn("slot", slot), "benchmark-items")
     index = (_windows(items, width, ["item", "words", "slot"])
              .withColumn("slots", F.aggregate(F.slice("slot", F.col("pos") + 1, width), F.lit(0), lambda a, x: a + x))
-             .select("item", "pos", "window", "slots"))
+             .select("item", "pos", "window", "slots", "literal"))
     usable = F.max((F.col("slots") * 2 <= width).cast("int")).over(Window.partitionBy("item"))
     index = (index.withColumn("usable", usable).where((F.col("slots") * 2 <= width) | (F.col("usable") == 0))
-             .withColumn("n_windows", F.count(F.lit(1)).over(Window.partitionBy("item")))
+             .withColumn("n_windows", F.sum(F.lit(1) - F.col("literal")).over(Window.partitionBy("item")))
              .select("item", "window", "n_windows", F.col("pos").alias("item_pos"), "slots"))
     index = materialize(index, "benchmark-windows")
 
@@ -134,7 +151,7 @@ def _consistent(places: DataFrame, docs: DataFrame, items: DataFrame, width: int
                .groupBy("doc", "item", "shift", "at")
                .agg(F.min_by("by", F.struct(F.abs(F.col("by") - F.col("shift")), "by")).alias("by")))
     pairs = (matched.join(slots, ["item", "at"]).join(words, "doc")
-             .withColumn("value", F.lower(F.get("there", F.col("at") + F.col("by"))))
+             .withColumn("value", plain(F.get("there", F.col("at") + F.col("by"))))
              .groupBy("doc", "item", "shift", F.lower("original").alias("original"))
              .agg(F.count(F.lit(1)).alias("n"), F.count_distinct("value").alias("values")))
     verdict = pairs.groupBy("doc", "item", "shift").agg(F.max("values").alias("most"), F.sum("n").alias("n_slots"))

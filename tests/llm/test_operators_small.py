@@ -446,5 +446,20 @@ def test_decontamination_slots_beyond_an_inserted_word(spark):
     assert found == {(1, 1), (2, 2), (3, 3), (6, 1), (7, 3)}
 
 
+def test_decontamination_rewrapped_and_lower_cased_copies(spark):
+    item = ("how far does Anna walk when she visits Boris near Lake Como if the trip takes 12 hours and she and "
+            "Clara meet old Peter")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    wrapped = item
+    for name in ("Anna", "Boris", "Lake", "Como", "Clara", "Peter"):
+        wrapped = wrapped.replace(" " + name, "\n" + name if name < "C" else " \t " + name)
+    other = wrapped.replace("Anna", "Eva").replace("12", "7").replace("Clara", "Rosa")
+    cases = [wrapped, item.lower(), item.upper(), item.replace(" ", "\u00a0\n"), other,
+             item.lower().replace("12 hours", "12\nHours"),
+             "how far does a trip go when all the others visit us near the lake and they meet there again"]
+    docs = spark.createDataFrame([(i, "so. " + t) for i, t in enumerate(cases)], "doc_id long, text string")
+    assert {r.doc_id for r in decontamination.find_contamination(docs, bench).collect()} == set(range(6))
+
+
 def test_kept_digest_rule():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
