@@ -1,15 +1,15 @@
-"""Substring dedup by relative Lempel-Ziv parsing against indexed reference blocks.
+"""Substring dedup by window hashing over minimiser blocks (in place of a Lempel-Ziv parse).
 
 The reference of a document is every document with a smaller id.  It is indexed by
 blocks: in every window of ``width`` words the ``gram``-word sequence of least hash is
 the window's anchor, and the run of windows with one anchor is a block, known by the hash
 of its words.  Anchors depend on a window's words alone, so equal passages are cut into
-equal blocks wherever they stand, and a document's greedy factors are runs of blocks that
-an earlier document holds too.
+equal blocks wherever they stand, and blocks that an earlier document holds too are repeats.
+No greedy longest factors are parsed: a word goes by the windows that cover it alone.
 
-A factor may begin or end inside a block.  Blocks whose anchor occurs in other blocks of
+A repeat may begin or end inside a block.  Blocks whose anchor occurs in other blocks of
 other documents are therefore checked word window by word window; only they are, and only
-in the first document that holds them, because later ones are factors already.
+in the first document that holds them, because later ones are repeats already.
 
 All hashes of content have 128 bits.  Texts stay where they are; blocks travel as hashes,
 about one row per (width - gram) / 2 words.
@@ -181,7 +181,7 @@ def remove_repeats(docs: DataFrame, width: int = 50, gram: int = 16) -> DataFram
     block = ["anchor", "h1", "h2"]
     first = materialize(found.groupBy(*block).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")),
                         "first-blocks")
-    # anchors in several different blocks and documents: factors may end inside these blocks
+    # anchors in several different blocks and documents: repeats may end inside these blocks
     open_anchors = (first.groupBy("anchor")
                     .agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("lo"), F.max("last").alias("hi"))
                     .where("n > 1 and lo < hi").select("anchor", F.lit(True).alias("open")))
