@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import (decontamination, language, licenses, mixing, simhash, substrings, token_counts, token_files, toxicity,
-               vectors)
+from . import (decontamination, hard_negatives, language, licenses, mixing, prefix_trie, simhash, substrings,
+               token_counts, token_files, toxicity, vectors)
 from .common import hashed_fold, table
 
 END_ID = 2
@@ -74,6 +74,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = F.col("conv_id")
+    paths = prefix_trie.turn_paths(table(spark, sf_dir, "conversations"), c - c % 5, hashed_fold(c, 9))
+    return prefix_trie.prefix_trie(paths)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", shifted.alias("label"), "embedding")
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_mixing, op2_licenses, op3_embedding_dedup, op4_simhash, op5_substring_dedup,
-                            op6_token_counts, op7_toxicity, op8_token_files, op9_language, op10_decontamination)}
+                            op6_token_counts, op7_toxicity, op8_token_files, op9_language, op10_decontamination,
+                            op11_prefix_trie, op12_hard_negatives)}
