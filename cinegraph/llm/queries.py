@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import (decontamination, hard_negatives, language, licenses, mixing, prefix_trie, simhash, substrings,
-               token_counts, token_files, toxicity, vectors)
+               suffix_dedup, token_counts, token_files, toxicity, vectors)
 from .common import hashed_fold, table
 
 END_ID = 2
@@ -86,7 +86,13 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeated_bytes(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_mixing, op2_licenses, op3_embedding_dedup, op4_simhash, op5_substring_dedup,
                             op6_token_counts, op7_toxicity, op8_token_files, op9_language, op10_decontamination,
-                            op11_prefix_trie, op12_hard_negatives)}
+                            op11_prefix_trie, op12_hard_negatives, op13_suffix_dedup)}
