@@ -67,7 +67,7 @@ def scores(tables: np.ndarray, codes: np.ndarray) -> np.ndarray:
 
 def _integers(lists: pa.Array, scale: int, size: int) -> np.ndarray:
     flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return np.floor(flat * scale).astype(np.int64).reshape(-1, size)
+    return np.floor(flat * scale).astype(np.int64).reshape(len(lists), size)
 
 
 def _pack(scale: int, planes: int):
@@ -175,7 +175,7 @@ def _best_rows(found: DataFrame, k: int) -> DataFrame:
 def _block(rows: list, size: int, planes: int) -> dict:
     """Anchors of one block, unpacked."""
     code = np.frombuffer(b"".join(bytes(r["code"]) for r in rows), np.uint8)
-    bits = np.unpackbits(code.reshape(len(rows), planes, -1), axis=2, bitorder="little")[:, :, :size].astype(np.int64)
+    bits = np.unpackbits(code.reshape(len(rows), planes, -(-size // 8)), axis=2, bitorder="little")[:, :, :size].astype(np.int64)
     weight = np.left_shift(np.int64(1), np.arange(planes))
     weight[-1] = -weight[-1]
     return {"row": np.array([r["row"] for r in rows], np.int64), "label": np.array([r["label"] for r in rows], np.int64),
