@@ -281,9 +281,13 @@ def q_recommend(spark, sf_dir):
 
 @query("fm_scores")
 def q_fm_scores(spark, sf_dir):
-    """M5 + M8: factorization machine on one-hot (uid, mid), scores for warm test."""
+    """M5 + M8 + K6: the train set exported as libsvm, a factorization machine fitted on
+    that folder, scores for the warm test set."""
     _, _, train, test = fixture_split(spark, sf_dir)
-    model = md.fit_fm(train, rank=8, epochs=10, reg=0.01)
+    n_users, n_movies = md.id_space(train, test)
+    path = scratch_path(spark, "fm-train")
+    md.export_libsvm(train, path, n_users, n_movies)
+    model = md.fit_fm_file(spark, path, n_users, rank=8, epochs=10, reg=0.01)
     return model.transform(test).select("id", "uid", "mid", "rating", "prediction")
 
 
