@@ -221,6 +221,27 @@ ORACLE["libsvm_roundtrip"] = _SPLIT + """
 SELECT CAST(rating AS DOUBLE) AS label, uid, mid, CAST(2 AS DOUBLE) AS ones FROM test_warm"""
 
 
+def _ridge(name, key, rows):
+    """Closed solution for two factors: rows has (key, a, b, r)."""
+    return f"""{name} AS (
+  SELECT {key} AS id, (sbb * sar - sab * sbr) / (saa * sbb - sab * sab) AS a,
+         (saa * sbr - sab * sar) / (saa * sbb - sab * sab) AS b
+  FROM (SELECT {key}, sum(a * a) + 0.1 * count(*) AS saa, sum(b * b) + 0.1 * count(*) AS sbb, sum(a * b) AS sab,
+               sum(a * r) AS sar, sum(b * r) AS sbr FROM ({rows}) x GROUP BY {key}) y)"""
+
+
+ORACLE["fold_in"] = with_ctes(FX_ITEM, FX_RATING, FX_LATEST, """
+known_items AS (SELECT id, rating / CAST(5 AS DOUBLE) AS a, 1 + id % 7 / CAST(7 AS DOUBLE) AS b FROM fx_item WHERE id % 10 <> 0),
+known_users AS (SELECT DISTINCT uid AS id, uid % 11 / CAST(11 AS DOUBLE) AS a, 2 - uid % 3 / CAST(3 AS DOUBLE) AS b
+                FROM fx_latest WHERE uid % 5 <> 0)""",
+    _ridge("new_items", "mid", "SELECT l.mid, u.a, u.b, l.rating AS r FROM fx_latest l JOIN known_users u ON u.id = l.uid "
+                               "WHERE l.mid % 10 = 0"),
+    "items AS (SELECT * FROM known_items UNION ALL SELECT * FROM new_items)",
+    _ridge("users", "uid", "SELECT l.uid, i.a, i.b, l.rating AS r FROM fx_latest l JOIN items i ON i.id = l.mid")) + """
+SELECT 'user' AS kind, id, round(a, 6) AS f1, round(b, 6) AS f2 FROM users
+UNION ALL SELECT 'movie', id, round(a, 6), round(b, 6) FROM new_items"""
+
+
 def _damped(algo, key, first):
     return f"""
 SELECT '{algo}' AS algo, g.reg, {first} + g.i AS run_ord,

@@ -18,6 +18,7 @@ from .operators.ids import dense_index
 from .operators.latest import latest_per_key
 from .operators.topk import global_top_k
 from .plans import catalog as cg
+from .plans import fold_in as fi
 from .plans import interactions as it
 from .plans import models as md
 from .plans import serving as sv
@@ -291,6 +292,22 @@ def q_fm_scores(spark, sf_dir):
     return model.transform(test).select("id", "uid", "mid", "rating", "prediction")
 
 
+@query("fold_in")
+def q_fold_in(spark, sf_dir):
+    """The latest ratings folded into fixed factors of two numbers per id.  Every
+    tenth movie and every fifth user is new to the model; all users are solved again."""
+    latest = fixture_latest(spark, sf_dir)
+    items = dt.fx_item(spark, sf_dir).where(F.col("id") % 10 != 0).select(
+        F.col("id").cast("long").alias("id"), F.array(F.col("rating") / 5, 1 + F.col("id") % 7 / 7).alias("features"))
+    users = latest.select("uid").distinct().where(F.col("uid") % 5 != 0).select(
+        F.col("uid").cast("long").alias("id"), F.array(F.col("uid") % 11 / 11, 2 - F.col("uid") % 3 / 3).alias("features"))
+    folded = fi.fold_in(fi.Factors(2, 0.1, users, items), latest)
+    new_items = folded.items.where(F.col("id") % 10 == 0)
+    parts = [df.select(F.lit(kind).alias("kind"), "id", *[F.round(F.col("features")[i], 6).alias(f"f{i + 1}") for i in (0, 1)])
+             for kind, df in (("user", folded.users), ("movie", new_items))]
+    return parts[0].unionByName(parts[1])
+
+
 @query("recommend_by_score")
 def q_recommend_by_score(spark, sf_dir):
     """W4 + J5 over the recall lists with a fixed score: best 3 per user, name and rating."""
@@ -434,21 +451,27 @@ def _stream_refresh(spark: SparkSession, sf_dir: str, with_model: bool = False):
     src = _event_files(dt.fx_event(spark, sf_dir), "events")
     out, recs, ck, log = (scratch_path(spark, n) for n in ("refresh", "refresh-recs", "refresh-ckpt", "event-log"))
 
-    def recall_for(users: DataFrame, event_log: str) -> DataFrame:
+    def latest_for(users: DataFrame, event_log: str) -> DataFrame:
         seen = st.read_users(spark, event_log, users, st.EVENT_SCHEMA)
         ev = seen.select("uid", F.col("mid").cast("long").alias("mid"), F.col("ts").alias("time"),
                          F.col("rating").cast("long").alias("rating"), F.col("event_id").alias("okey"),
                          F.lit(0).alias("line"), F.lit(0).cast("long").alias("skey"), F.lit(0.0).alias("price"))
         rows = st.read_users(spark, base_path, users, base.schema).unionByName(ev)
-        latest = latest_per_key(rows, ["uid", "mid"], order, ["rating"])
-        return rc.recall(latest, items, bridge, ranked=ranked)
+        return latest_per_key(rows, ["uid", "mid"], order, ["rating"])
+
+    def recall_for(users: DataFrame, event_log: str) -> DataFrame:
+        return rc.recall(latest_for(users, event_log), items, bridge, ranked=ranked)
 
     rescore = None
     if with_model:
         path, rows = scratch_path(spark, "als-model"), raw.select("uid", "mid", "rating")
         md.load_or_train(spark, path, rows)
         model = md.load_or_train(spark, path, rows)          # S7: loaded from what K5 saved
-        rescore = lambda lists: md.recommend(model, lists, items, 3)
+        factors = fi.of_model(model, md.ALS_DEPLOYED[2])
+
+        def rescore(lists: DataFrame, users: DataFrame, event_log: str) -> DataFrame:
+            folded = fi.fold_in(factors, latest_for(users, event_log))
+            return md.best_scored(fi.score(folded, lists.select("uid", "mid")), items, 3)
     st.run_refresh(spark, src, out, ck, recall_for, log, rescore, recs)
     return out, recs
 
@@ -464,8 +487,9 @@ def q_stream_refresh(spark, sf_dir):
 
 @query("stream_recommend")
 def q_stream_recommend(spark, sf_dir):
-    """C10 / ST3 + M9 + C9: touched users' top-3 recommendations after each batch,
-    scored by a loaded-or-trained ALS model."""
+    """C10 / ST3 + M9 + C9: touched users' top-3 recommendations after each batch, scored by
+    a loaded-or-trained ALS model into which their present ratings are folded: users that
+    the model has not seen get lists too."""
     _, recs = _stream_refresh(spark, sf_dir, with_model=True)
     return st.current_lists(spark, recs).select("uid", "pos", "mid", "name", "rating", "prediction")
 
