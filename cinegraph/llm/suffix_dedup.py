@@ -242,9 +242,10 @@ def remove_repeated_bytes(docs: DataFrame, width: int = 200, gram: int = 24, hot
     found = materialize(rows.where(F.octet_length("text") >= width).mapInArrow(
         _index(width, gram), f"doc_id {kind}, t binary, anchor long, h1 long, h2 long, at int, n int"), "suffix-blocks")
 
-    shared = (found.groupBy("anchor").agg(
+    # written, so that the join below is one of its own and a frequent anchor's rows can be split
+    shared = materialize(found.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("c"), *[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("h1", "h2")])
-        .where("c > 1").select("anchor", F.expr("min_h1 < max_h1 or min_h2 < max_h2").alias("open")))
+        .where("c > 1").select("anchor", F.expr("min_h1 < max_h1 or min_h2 < max_h2").alias("open")), "shared-anchors")
     block = ["anchor", "h1", "h2"]
     known = materialize(found.join(shared, "anchor"), "shared-blocks")
     contents = materialize(known.groupBy(*block, "open").agg(
