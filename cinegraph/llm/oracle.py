@@ -2,7 +2,10 @@
 
 MIXING = r"""
 WITH RECURSIVE sized AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         md5(coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce('=' || source, 'null')) || ':'
+             || md5(coalesce('=' || text, 'null'))) AS key FROM documents),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY key) - 1 AS nth FROM sized),
 per_source AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 sources AS (
   SELECT *, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight,
@@ -17,8 +20,8 @@ targets AS (SELECT *, least(most, weight * (SELECT max(level) FROM levels)) AS t
 rated AS (
   SELECT d.doc_id, d.size, t.source_size, t.target,
          CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate,
-         ('0x' || substr(md5('20:' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS draw
-  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
+         ('0x' || substr(md5('20:' || d.key || ':' || d.nth::VARCHAR), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS draw
+  FROM numbered d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
        (floor(rate)::BIGINT + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) * size AS taken
 FROM rated
