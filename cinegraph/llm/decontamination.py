@@ -73,38 +73,51 @@ def _windows(rows: DataFrame, width: int, keep: list[str]) -> DataFrame:
 
 
 def _row_hash() -> Column:
-    """What a document is told apart by: its id and text."""
-    return F.xxhash64("doc_id", "text")
+    """What a document is told apart by: its id and text, in two hash lanes."""
+    return F.struct(F.xxhash64("doc_id", "text").alias("a"), F.xxhash64(F.lit(7), "doc_id", "text").alias("b"))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 5, coverage: float = 0.5,
-                       drift: int = 2) -> DataFrame:
+                       drift: int = 2, short: int = 8, least_words: int = 4) -> DataFrame:
     """(doc_id, item_id, n_windows, n_found, coverage, n_slots), one row per document id,
     text and benchmark item found in it.
 
-    An item is found when at least ``coverage`` of its windows match in one place (up to
-    ``drift`` inserted or lost tokens) and its slots are consistent.  Items shorter than
-    ``width`` tokens identify nothing and are not searched; an item's windows of which
-    less than half are literal words count only if it has no others.  Null and empty
-    texts match nothing; repeated rows (same id and text) give one row; null ids match
-    like any other; other columns are not read; empty tables give an empty result."""
-    return _find(docs, benchmark, width, coverage, drift).drop("doc")
+    An item of ``short`` tokens or more is found when at least ``coverage`` of all its
+    windows match in one place (up to ``drift`` inserted or lost tokens), each counted
+    once, when the matched windows hold ``least_words`` of its literal words (or all of
+    them), and when its slots are consistent.  Windows of which more than half are slots
+    match as plain words only, unless the item has no others.
 
+    Shorter items are found by their whole token sequence, as plain words or, with
+    ``least_words`` literal words and no slot value twice, as a template; one or two tokens
+    stand in any text, so such an item is found only where it is the whole document.  They
+    have one window.
 
-def _find(docs: DataFrame, benchmark: DataFrame, width: int = 5, coverage: float = 0.5, drift: int = 2) -> DataFrame:
-    """The rows of ``find_contamination`` with the hash ``doc`` of the document's id and text."""
+    Items without tokens are not searched.  Null and empty texts match nothing; repeated
+    rows (same id and text) give one row; null ids match like any other; other columns are
+    not read; empty tables give an empty result."""
+    return _find(docs, benchmark, width, coverage, drift, short, least_words).drop("doc")
+
+
+def _find(docs: DataFrame, benchmark: DataFrame, width: int = 5, coverage: float = 0.5, drift: int = 2,
+          short: int = 8, least_words: int = 4) -> DataFrame:
+    """The rows of ``find_contamination`` with the hashes ``doc`` of the document's id and text."""
+    if short < width:
+        raise ValueError("items shorter than a window must be searched whole")
     items = (benchmark.where(F.col("text").isNotNull())
-             .select("item_id", F.xxhash64("item_id", "text").alias("item"), tokens(F.col("text")).alias("words"))
-             .dropDuplicates(["item"]))
+             .select("item_id", F.struct(F.xxhash64("item_id", "text").alias("a"), F.xxhash64(F.lit(7), "item_id", "text")
+                                         .alias("b")).alias("item"), tokens(F.col("text")).alias("words"))
+             .where(F.size("words") > 0).dropDuplicates(["item"]))
     slot = F.transform("words", lambda t: canonical(t).rlike("^<").cast("int"))
     items = materialize(items.withColumn("slot", slot), "benchmark-items")
-    index = (_windows(items, width, ["item", "words", "slot"])
-             .withColumn("slots", F.aggregate(F.slice("slot", F.col("pos") + 1, width), F.lit(0), lambda a, x: a + x))
-             .select("item", "pos", "window", "slots", "literal"))
+    long_items = items.where(F.size("words") >= short)
+    index = (_windows(long_items, width, ["item", "words", "slot"])
+             .withColumn("slots", F.aggregate(F.slice("slot", F.col("pos") + 1, width), F.lit(0), lambda a, x: a + x)))
     usable = F.max((F.col("slots") * 2 <= width).cast("int")).over(Window.partitionBy("item"))
-    index = (index.withColumn("usable", usable).where((F.col("slots") * 2 <= width) | (F.col("usable") == 0))
-             .withColumn("n_windows", F.sum(F.lit(1) - F.col("literal")).over(Window.partitionBy("item")))
-             .select("item", "window", "n_windows", F.col("pos").alias("item_pos"), "slots"))
+    index = (index.withColumn("usable", usable)
+             .where((F.col("literal") == 1) | (F.col("slots") * 2 <= width) | (F.col("usable") == 0))
+             .select("item", "window", (F.size("words") - (width - 1)).alias("n_windows"), F.col("pos").alias("item_pos"),
+                     "slots"))
     index = materialize(index, "benchmark-windows")
 
     rows = docs.select("doc_id", _row_hash().alias("doc"), tokens(F.col("text")).alias("words"))
@@ -117,11 +130,18 @@ def _find(docs: DataFrame, benchmark: DataFrame, width: int = 5, coverage: float
               .agg(F.first("doc_id").alias("doc_id"), F.first("n_windows").alias("n_windows"),
                    F.collect_set("item_pos").alias("matched"), F.max("slots").alias("slots")))
     near = Window.partitionBy("doc", "item").orderBy("shift").rangeBetween(-drift, drift)
-    best = (places.withColumn("n_found", F.sum(F.size("matched")).over(near))
-            .withColumn("any_slots", F.max("slots").over(near))
+    best = (places.withColumn("any_slots", F.max("slots").over(near))
             .withColumn("pooled", F.collect_list(F.struct(F.col("shift").alias("by"), "matched")).over(near))
+            .withColumn("windows", F.array_distinct(F.flatten("pooled.matched")))
+            .withColumn("n_found", F.size("windows"))
             .where(F.col("n_found") >= F.lit(coverage) * F.col("n_windows")))
-    found = materialize(best, "contamination-places")
+    # literal words of the item under matched windows
+    under = F.array_distinct(F.flatten(F.transform("windows", lambda p: F.sequence(p, p + (width - 1)))))
+    literal = F.aggregate(under, F.lit(0), lambda a, i: a + 1 - F.element_at("slot", (i + 1).cast("int")))
+    all_literal = F.aggregate("slot", F.lit(0), lambda a, x: a + 1 - x)
+    found = materialize(best.join(items.select("item", "slot"), "item")
+                        .where(literal >= F.least(F.lit(least_words), all_literal)).drop("slot", "windows"),
+                        "contamination-places")
 
     free = found.where("any_slots = 0").withColumn("n_slots", F.lit(0).cast("long"))
     checked = _consistent(found.where("any_slots > 0"), docs, items, width)
@@ -129,10 +149,36 @@ def _find(docs: DataFrame, benchmark: DataFrame, width: int = 5, coverage: float
     matched = free.select(keep).union(checked.select(keep)).groupBy("doc", "item").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_windows").alias("n_windows"),
         F.max("n_found").alias("n_found"), F.max("n_slots").cast("long").alias("n_slots"))
-    return (matched.join(items.select("item", "item_id"), "item")
-            .select("doc", "doc_id", "item_id", F.col("n_windows").cast("long").alias("n_windows"),
-                    F.least("n_found", "n_windows").cast("long").alias("n_found"),
-                    F.least(F.lit(1.0), F.col("n_found") / F.col("n_windows")).alias("coverage"), "n_slots"))
+    long_found = (matched.join(items.select("item", "item_id"), "item")
+                  .select("doc", "doc_id", "item_id", F.col("n_windows").cast("long").alias("n_windows"),
+                          F.col("n_found").cast("long").alias("n_found"),
+                          (F.col("n_found") / F.col("n_windows")).alias("coverage"), "n_slots"))
+    return long_found.unionByName(_find_short(rows, items, short, least_words))
+
+
+def _find_short(rows: DataFrame, items: DataFrame, short: int, least_words: int) -> DataFrame:
+    """Items below ``short`` tokens, by windows of each of their lengths."""
+    few = items.where(F.size("words") < short)
+    lengths = sorted(r["n"] for r in few.select(F.size("words").alias("n")).distinct().collect())   # under ``short``
+    one = F.lit(1).cast("long")
+    out = rows.sparkSession.createDataFrame([], rows.select("doc", "doc_id").schema.add(items.schema["item_id"])) \
+        .select("*", one.alias("n_windows"), one.alias("n_found"), F.lit(1.0).alias("coverage"), one.alias("n_slots"))
+    for n in lengths:
+        slots = F.aggregate("slot", F.lit(0), lambda a, x: a + x)
+        values = F.transform(F.filter(F.arrays_zip("words", "slot"), lambda z: z["slot"] == 1), lambda z: F.lower(z["words"]))
+        index = (_windows(few.where(F.size("words") == n), n, ["item_id", "slot", "words"])
+                 .select("item_id", "window", "literal", slots.cast("long").alias("slots"),
+                         F.size(F.array_distinct(values)).alias("different"))
+                 .where((F.col("literal") == 1) | (F.col("slots") == 0)
+                        | ((F.lit(n) - F.col("slots") >= least_words) & (F.col("slots") == F.col("different")))))
+        if n <= 2:
+            index = index.where((F.col("literal") == 1) | (F.col("slots") == 0))
+        searched = rows if n > 2 else rows.where(F.size("words") == n)
+        hits = (_windows(searched, n, ["doc_id", "doc"]).join(materialize(index, "short-items"), "window")
+                .groupBy("doc", "doc_id", "item_id").agg(F.max("slots").alias("n_slots")))
+        out = out.unionByName(hits.select("doc", "doc_id", "item_id", one.alias("n_windows"), one.alias("n_found"),
+                                          F.lit(1.0).alias("coverage"), "n_slots"))
+    return out
 
 
 def _consistent(places: DataFrame, docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
@@ -161,7 +207,11 @@ def _consistent(places: DataFrame, docs: DataFrame, items: DataFrame, width: int
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` in which no benchmark item is found, with all their columns."""
+    """The rows of ``docs`` in which no benchmark item is found, with all their columns.
+
+    Rows go by id and text (null ids too), so a repeated row goes with its like; null and
+    empty texts stay; nulls, very long texts and short items as in ``find_contamination``;
+    other columns may be called anything; an empty table gives none."""
     mark = fresh(docs, "contaminated_doc")[0]
     found = _find(docs, benchmark, **how).select(F.col("doc").alias(mark)).distinct()
     return docs.join(materialize(found, "contaminated"), _row_hash() == F.col(mark), "left_anti")
