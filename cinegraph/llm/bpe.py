@@ -5,7 +5,8 @@ split never joins characters over a space that a non-space character follows, ex
 that this space goes to what follows.  So a text is the concatenation of its *pieces*,
 cut before every such space, and its tokens are the pieces' tokens.  A new piece is cut
 into pre-tokens by the vocabulary's own pattern and each new pre-token goes to the
-library's BPE model; both are kept in bounded tables.  Pieces with characters outside
+library's BPE model; both are kept in bounded tables.  The new words of a batch of texts
+are merged together (``bulk_bpe``) before the texts are put together.  Pieces with characters outside
 the range on which pattern and library were compared (``PLAIN``) go to the library as
 they are, and a text that holds a special token's string goes there whole.
 """
@@ -16,11 +17,14 @@ import os
 import re
 import sys
 from array import array
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import regex
 
+from .bulk_bpe import Merger
+from .common import texts
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 # Fixed value: the split pattern of byte-level vocabularies of this family.
@@ -84,6 +88,22 @@ class Pieces(dict):
         self.known_bare = {k: v for k, v in known.items() if k[0] != " " or len(k) == 1}
         self.bare = dict(self.known_bare)
         self.update(self.known)
+        self.merger = Merger(path, _LETTERS)
+
+    def learn(self, texts: Iterable[str]) -> None:
+        """Fill the table with the words of these texts that are not in it yet."""
+        if not self.merger.usable:
+            return
+        pieces = set().union(*[_CUT.split(t) if _ODD.search(t) else t.split(" ") for t in texts])
+        words = {w[:-1] if w[-1:] in _MARKS else w for w in pieces.difference(self)}
+        words = [w for w in words if w not in self and len(w) <= 64 and w.isalpha() and PLAIN.fullmatch(w)]
+        if len(self) + len(words) > self.most:
+            self.clear()
+            self.update(self.known)
+            words = words[:max(0, self.most - len(self))]     # the others one by one, as they come
+        value = self.value
+        for word, ids in zip(words, self.merger([b" " + w.encode() for w in words]), strict=True):
+            self[word] = value(ids)
 
     def __missing__(self, key: str):
         if key[-1:] in _MARKS and key[:-1].isalpha():
@@ -137,10 +157,30 @@ class Pieces(dict):
         return self.join([self.cut(first) if first else self.join([]), *map(self.__getitem__, rest)])
 
 
-def _id_bytes(ids: list[int]) -> bytes:
+def _id_bytes(ids: list[int] | np.ndarray) -> bytes:
+    if isinstance(ids, np.ndarray):
+        return ids.astype("<u4", copy=False).tobytes()
     return array("I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, "<u4").tobytes()
 
 
+#: characters of texts whose words are learned together
+_LEARNED = 8_000_000
+
+
+def learned(pieces: Pieces, column) -> Iterator[str]:
+    """The texts of an Arrow column (null as empty), a few MB at a time, their words learned."""
+    held, size = [], 0
+    for value in texts(column):
+        held.append(value)
+        size += len(value)
+        if size >= _LEARNED:
+            pieces.learn(held)
+            yield from held
+            held, size = [], 0
+    pieces.learn(held)
+    yield from held
+
+
 #: tables of this Python worker process; later tasks in it go on with them
 _TABLES: dict[tuple, Pieces] = {}
 

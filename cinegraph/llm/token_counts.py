@@ -16,8 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import ArrowUDFType
 
-from .bpe import counter, whole_tokens
-from .common import texts
+from .bpe import counter, learned, whole_tokens
 
 
 def count_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -32,7 +31,7 @@ def count_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens = counter(tokenizer, known.value)
         for batch in batches:
-            yield pa.array(np.fromiter((tokens(t) for t in texts(batch)), np.int64, len(batch)))
+            yield pa.array(np.fromiter(map(tokens, learned(tokens, batch)), np.int64, len(batch)))
     counted = F.arrow_udf(count, "long", ArrowUDFType.SCALAR_ITER)
     return (docs.drop("n_bytes", "n_tokens")
             .withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import encoder
+from .bpe import encoder, learned
 
 _SLICE_IDS = 500_000      # ids in one Arrow batch, about
 
@@ -31,8 +31,8 @@ def _encode(tokenizer: str, end_id: int, pieces: int):
         end = np.array([end_id], "<u4").tobytes()
         for b in batches:
             lo, held, rows = 0, 0, []
-            for i, text in enumerate(b.column(1)):
-                rows.append(encode(text.as_py() or "") + end)
+            for i, text in enumerate(learned(encode, b.column(1))):
+                rows.append(encode(text) + end)
                 held += len(rows[-1]) // 4
                 if held >= _SLICE_IDS or i + 1 == b.num_rows:
                     n = np.fromiter(map(len, rows), np.int64, len(rows)) // 4
