@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import ArrowUDFType
 
-from .bpe import counter, learned, whole_tokens
+from .bpe import whole_tokens
+from .pretokens import pre_tokens
 
 
 def count_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -29,9 +30,10 @@ def count_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
     known = docs.sparkSession.sparkContext.broadcast(whole_tokens(tokenizer))
 
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokens = counter(tokenizer, known.value)
+        tokens = pre_tokens(tokenizer, known=known.value)
         for batch in batches:
-            yield pa.array(np.fromiter(map(tokens, learned(tokens, batch)), np.int64, len(batch)))
+            counts = [n for _, _, n, _ in tokens.batches(batch)]
+            yield pa.array(np.concatenate(counts) if counts else np.zeros(0, np.int64))
     counted = F.arrow_udf(count, "long", ArrowUDFType.SCALAR_ITER)
     return (docs.drop("n_bytes", "n_tokens")
             .withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))

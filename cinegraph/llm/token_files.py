@@ -18,31 +18,22 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import encoder, learned
-
-_SLICE_IDS = 500_000      # ids in one Arrow batch, about
-
+from .pretokens import pre_tokens
 
 def _encode(tokenizer: str, end_id: int, pieces: int):
     names = ["part", "doc_id", "local_start", "n_tokens", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, at = encoder(tokenizer, pieces), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u4").tobytes()
+        tokens, part, at = pre_tokens(tokenizer, pieces), TaskContext.get().partitionId(), 0
         for b in batches:
-            lo, held, rows = 0, 0, []
-            for i, text in enumerate(learned(encode, b.column(1))):
-                rows.append(encode(text) + end)
-                held += len(rows[-1]) // 4
-                if held >= _SLICE_IDS or i + 1 == b.num_rows:
-                    n = np.fromiter(map(len, rows), np.int64, len(rows)) // 4
-                    ends = np.cumsum(n)
-                    ids = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(rows))])
-                    lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), ids)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(rows), part, np.int32)), b.column(0).slice(lo, len(rows)),
-                         pa.array(at + ends - n), pa.array(n), lists], names=names)
-                    at, lo, held, rows = at + int(ends[-1]), i + 1, 0, []
+            for lo, hi, n, ids in tokens.batches(b.column(1)):
+                ends = np.cumsum(n + 1)
+                ids = np.insert(ids, np.cumsum(n), end_id)
+                lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(hi - lo, part, np.int32)), b.column(0).slice(lo, hi - lo),
+                     pa.array(at + ends - n - 1), pa.array(n + 1), lists], names=names)
+                at += int(ends[-1])
     return run
 
 
@@ -53,7 +44,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, rows_p
     Null and empty texts are written with the end id alone; rows repeated with one id
     each keep a row, next to each other; null ids come last; an empty table writes an
     empty folder of files.  Ids need less than 2**31 values.  ``pieces`` bounds a worker's
-    table of encoded pieces (about 0.4 KB each): more is faster, the files are the same."""
+    table of pre-tokens (about 60 bytes each): more is faster, the files are the same."""
     order = [F.col("doc_id").asc_nulls_last(), F.col("place")]
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = (docs.select("doc_id", "text", F.xxhash64("text").alias("place"))
