@@ -81,7 +81,7 @@ def select_job(spark: SparkSession, results_path: str, als_grid=None, fm_grid=No
     test = md.warm_test(train, test)
     train, test = materialize(train, "select-train"), materialize(test, "select-test")
     als_pts = md.grid(spark, "als", *(als_grid or (md.ALS_RANKS, md.ALS_MAX_ITERS, md.ALS_REGS)))
-    md.grid_search(spark, als_pts, results_path, md.als_evaluator(train, test))
+    md.als_grid_search(spark, als_pts, results_path, train, test)
     fm_pts = md.grid(spark, "fm", *(fm_grid or (md.FM_RANKS, md.FM_EPOCHS, md.FM_LAMBDAS)))
     results = md.grid_search(spark, fm_pts, results_path, md.fm_evaluator(train, test))
     return tb.publish(md.model_report(results), "model_report", key=None)

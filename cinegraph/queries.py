@@ -336,6 +336,18 @@ def q_model_report(spark, sf_dir):
     return md.model_report(runs)
 
 
+@query("als_grid")
+def q_als_grid(spark, sf_dir):
+    """M4 + K7 + C11: the whole ALS grid (364 points) fitted as one stacked job on the train
+    set, RMSE on the warm test set, the best point marked (A9)."""
+    _, _, train, test = fixture_split(spark, sf_dir)
+    points = md.grid(spark, "als", md.ALS_RANKS, md.ALS_MAX_ITERS, md.ALS_REGS)
+    results = md.als_grid_search(spark, points, scratch_path(spark, "als-grid"), train, test)
+    best = md.best_of(results).select("algo", F.col("run_ord").alias("best"))
+    return results.join(best, "algo").select("algo", "rank", "max_iter", "reg", "rmse", "run_ord",
+                                             (F.col("run_ord") == F.col("best")).alias("best"))
+
+
 @query("libsvm_roundtrip")
 def q_libsvm_roundtrip(spark, sf_dir):
     """K6: the warm test set written as libsvm, the lines read back and taken apart."""

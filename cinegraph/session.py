@@ -14,7 +14,6 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -94,15 +93,10 @@ def scratch_scope(spark: SparkSession):
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder is there; any other trouble (permissions, an unreachable
-    store) raises instead of looking like an absent path."""
-    try:
-        spark.read.format("binaryFile").load(path)
-        return True
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
+    """Whether a file or folder is there (one look at the store, no listing); any other
+    trouble (permissions, an unreachable store) raises instead of looking like an absent path."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
 
 
 def materialize(df, name: str = "stage"):
