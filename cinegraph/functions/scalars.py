@@ -1,4 +1,4 @@
-"""X4-X8, X10 and the M1 split predicate: scalar column expressions."""
+"""Scalar column expressions."""
 
 from __future__ import annotations
 
@@ -32,10 +32,3 @@ def valid_rating(rating, lo: int = 1, hi: int = 10) -> Column:
     """A parsed rating is an integer in [lo, hi]."""
     r = try_int(rating)
     return r.isNotNull() & r.between(lo, hi)
-
-
-def in_train(id_col, cut: str = "c0") -> Column:
-    """M1: deterministic 75/25 split on the row id: the first two hex digits of
-    md5(id) below 'c0' (192 of 256 buckets) -> train.  Stable under any
-    partitioning and equal in other SQL engines."""
-    return F.substring(F.md5(_c(id_col).cast("string")), 1, 2) < F.lit(cut)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .operators.select import MIX, ROUNDS
 from .plans.models import ALS_REGS
 from .oracle_fixtures import (CREDIT_NAMES, FX_ACTOR, FX_BRIDGE, FX_EVENT, FX_ITEM, FX_LATEST, FX_MOVIE_RAW, FX_RATING,
                               FX_RATING_RAW,
@@ -12,22 +13,26 @@ ORACLE: dict[str, str] = {}
 _RECALL_TAIL = """
 liked AS (SELECT uid, mid FROM fx_latest WHERE rating > 6),
 people AS (SELECT DISTINCT l.uid, b.role, b.pid FROM liked l JOIN fx_bridge b ON b.mid = l.mid),
-hop AS (SELECT DISTINCT p.uid, b.mid FROM people p JOIN fx_bridge b ON b.role = p.role AND b.pid = p.pid),
+hop AS MATERIALIZED (SELECT DISTINCT p.uid, b.mid FROM people p JOIN fx_bridge b ON b.role = p.role AND b.pid = p.pid),
 related AS (SELECT h.uid, h.mid FROM hop h
             WHERE NOT EXISTS (SELECT 1 FROM fx_latest r WHERE r.uid = h.uid AND r.mid = h.mid)),
-s1 AS (SELECT uid, pos, mid FROM (
+s1 AS MATERIALIZED (SELECT uid, pos, mid FROM (
          SELECT r.uid, r.mid, row_number() OVER (PARTITION BY r.uid ORDER BY i.rating DESC, r.mid) - 1 AS pos
          FROM related r JOIN fx_item i ON i.id = r.mid WHERE i.rating > 6) t WHERE pos < 50),
-user_n AS (SELECT u.uid, count(s1.mid) AS n FROM (SELECT DISTINCT uid FROM fx_latest) u
+user_n AS MATERIALIZED (SELECT u.uid, count(s1.mid) AS n FROM (SELECT DISTINCT uid FROM fx_latest) u
            LEFT JOIN s1 ON s1.uid = u.uid GROUP BY u.uid),
-ranked AS (SELECT id AS mid, rating, row_number() OVER (ORDER BY rating DESC, id) AS rnk FROM fx_item),
-from_top AS (SELECT n.uid, rk.rnk - 1 AS pos, rk.mid FROM user_n n JOIN ranked rk ON rk.rnk <= 50 WHERE n.n = 0),
-excluded AS (SELECT uid, mid FROM hop UNION SELECT uid, mid FROM fx_latest),
+ranked AS MATERIALIZED (SELECT id AS mid, rating, row_number() OVER (ORDER BY rating DESC, id) AS rnk FROM fx_item),
+from_top AS (SELECT n.uid, n.rnk - 1 AS pos, rk.mid
+             FROM (SELECT uid, unnest(range(1, 51)) AS rnk FROM user_n WHERE n = 0) n JOIN ranked rk ON rk.rnk = n.rnk),
+excluded AS MATERIALIZED (SELECT h.uid, h.mid FROM hop h JOIN user_n n ON n.uid = h.uid AND n.n > 0 AND n.n < 50
+                          UNION SELECT uid, mid FROM fx_latest),
+excluded_n AS (SELECT uid, count(*) AS e FROM excluded GROUP BY uid),
+wanted AS (SELECT n.uid, n.n, unnest(range(1, 50 - n.n + e.e + 1)) AS rnk
+           FROM user_n n JOIN excluded_n e ON e.uid = n.uid WHERE n.n > 0 AND n.n < 50),
+free AS (SELECT w.uid, w.n, w.rnk, rk.mid FROM wanted w JOIN ranked rk ON rk.rnk = w.rnk
+         ANTI JOIN excluded x ON x.uid = w.uid AND x.mid = rk.mid),
 fill AS (SELECT uid, pos, mid FROM (
-           SELECT n.uid, n.n + row_number() OVER (PARTITION BY n.uid ORDER BY rk.rnk) - 1 AS pos, rk.mid
-           FROM user_n n CROSS JOIN ranked rk
-           WHERE n.n > 0 AND n.n < 50
-             AND NOT EXISTS (SELECT 1 FROM excluded e WHERE e.uid = n.uid AND e.mid = rk.mid)) t
+           SELECT uid, n + row_number() OVER (PARTITION BY uid ORDER BY rnk) - 1 AS pos, mid FROM free) t
          WHERE pos < 50),
 recall_out AS (SELECT uid, CAST(pos AS BIGINT) AS pos, mid FROM s1
                UNION ALL SELECT uid, CAST(pos AS BIGINT), mid FROM from_top
@@ -42,8 +47,9 @@ ORACLE["recall_stage1"] = _RECALL_BASE + "SELECT uid, CAST(pos AS BIGINT) AS pos
 ORACLE["recall"] = _RECALL_BASE + "SELECT uid, pos, mid FROM recall_out"
 ORACLE["recall_all_users"] = _RECALL_BASE + """, everyone AS (
   SELECT uid, pos, mid FROM recall_out
-  UNION ALL SELECT c_custkey, CAST(rk.rnk - 1 AS BIGINT), rk.mid FROM customer JOIN ranked rk ON rk.rnk <= 50
-  WHERE c_custkey NOT IN (SELECT uid FROM fx_latest))
+  UNION ALL SELECT c.uid, CAST(rk.rnk - 1 AS BIGINT), rk.mid
+  FROM (SELECT c_custkey AS uid, unnest(range(1, 51)) AS rnk FROM customer ANTI JOIN fx_latest ON uid = c_custkey) c
+  JOIN ranked rk ON rk.rnk = c.rnk)
 SELECT uid, pos, mid FROM everyone"""
 ORACLE["recommend_by_score"] = _RECALL_BASE + """, scored AS (
   SELECT uid, mid, ((uid * 31 + mid * 17) % 1000) / CAST(100 AS DOUBLE) AS prediction FROM recall_out),
@@ -169,6 +175,19 @@ SELECT l.uid, u.name AS "user", row_number() OVER (PARTITION BY l.uid ORDER BY l
        l.mid, m.name AS movie, l.time, strftime(l.time, '%Y-%m-%d %H:%M') AS time_text, l.rating
 FROM latest l JOIN users u ON u.id = l.uid JOIN movies m ON m.mid = l.mid"""
 
+ORACLE["random_users"] = _INTERACTIONS.replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+size AS (SELECT count(*) AS n, greatest(1, (length(bin(count(*) - 1)) + 1) // 2) AS bits FROM users),
+walk(pos, round, l, r) AS (
+  SELECT pos, 0, pos >> bits, pos & ((1 << bits) - 1) FROM size, (SELECT unnest(range(5)) AS pos) p WHERE pos < n
+  UNION ALL
+  SELECT pos, e + 1, r, xor(l, xor(t >> 11, t >> 21) & ((1 << bits) - 1))
+  FROM (SELECT *, (xor(u, u >> 7) * {MIX[1]}) & 4294967295 AS t
+        FROM (SELECT *, (r * {MIX[0]} + {list(ROUNDS)}[e + 1]) & 2147483647 AS u
+              FROM (SELECT *, CASE WHEN round = {len(ROUNDS)} THEN 0 ELSE round END AS e FROM walk, size) a) b) c
+  WHERE round < {len(ROUNDS)} OR ((l << bits) | r) >= n)
+SELECT w.pos, u.id, u.name FROM walk w, size s JOIN users u ON u.id = ((w.l << s.bits) | w.r)
+WHERE w.round = {len(ROUNDS)} AND ((w.l << s.bits) | w.r) < s.n"""
+
 
 def _paged(src, cols):
     return f"""
@@ -206,7 +225,8 @@ UNION ALL SELECT (SELECT max(id) FROM rating) + row_number() OVER (ORDER BY ts,
 
 # ---- M1 / F8 / A8 -----------------------------------------------------------
 _SPLIT = _INTERACTIONS + """,
-tagged AS (SELECT id, uid, mid, rating, substr(md5(CAST(id AS VARCHAR)), 1, 2) < 'c0' AS is_train FROM rating),
+tagged AS (SELECT id, uid, mid, rating, row_number() OVER (ORDER BY substr(md5(CAST(id AS VARCHAR)), 1, 13), id)
+             <= floor(0.75 * count(*) OVER () + 0.5) AS is_train FROM rating),
 train AS (SELECT id, uid, mid, rating FROM tagged WHERE is_train),
 test_warm AS (SELECT id, uid, mid, rating FROM tagged t WHERE NOT is_train
               AND uid IN (SELECT uid FROM train) AND mid IN (SELECT mid FROM train))

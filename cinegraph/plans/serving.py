@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import format_time, star_percent
 from ..operators.ids import dense_index
 from ..operators.latest import latest_per_key
+from ..operators.select import permuted
 from ..operators.topk import page
 from .catalog import Catalog, dimension_rows
 
@@ -112,7 +113,10 @@ def home(cat: Catalog, per_kind: int = 4) -> DataFrame:
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
 
-def random_users(user: DataFrame, n: int = 5, seed: int | None = None) -> DataFrame:
-    """N users in random order (top-n by a random key per task)."""
-    r = F.rand(seed) if seed is not None else F.rand()
-    return user.select("id", "name", r.alias("random")).orderBy("random").limit(n)
+def random_users(user: DataFrame, n: int = 5, seed: int = 0) -> DataFrame:
+    """(pos, id, name) of n different users in random order.  Ids are dense, so
+    the positions of a seeded permutation are ids, looked up without sorting the users."""
+    size = user.count()
+    ids = [(k, permuted(k, size, seed)) for k in range(min(n, size))]
+    chosen = user.sparkSession.createDataFrame(ids, "pos long, id long")          # n rows
+    return F.broadcast(chosen).join(user.select("id", "name"), "id").select("pos", "id", "name")

@@ -1,6 +1,8 @@
 """Operator properties: dense ids, latest/first, top-k, backfill, partition independence."""
 
+import hashlib
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import Window
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from cinegraph.operators.backfill import backfill
 from cinegraph.operators.ids import dense_index
 from cinegraph.operators.latest import first_per_key, latest_per_key
+from cinegraph.operators.select import permuted, smallest
 from cinegraph.operators.topk import top_k_per_group
 
 
@@ -59,3 +62,54 @@ def test_backfill_skips_exclusions(spark):
         got.setdefault(r["uid"], []).append((r["pos"], r["mid"]))
     assert sorted(got[1]) == [(2, 102), (3, 104), (4, 105), (5, 106), (6, 107)]
     assert sorted(got[2]) == [(0, 100), (1, 101), (2, 102)]
+
+
+@pytest.mark.parametrize("chunk,first", [(4, 3), (16, 40), (4096, 4096)])
+def test_backfill_equals_brute_force(spark, chunk, first):
+    rng = random.Random(chunk)
+    ranked = [(m, r) for r, m in enumerate(rng.sample(range(1000), 200), 1)]
+    mid = dict((r, m) for m, r in ranked)
+    needs, excluded = [], []
+    for u in range(60):
+        needs.append((u, rng.randint(1, 50), rng.randint(0, 3)))
+        ranks = rng.sample(range(1, 201), rng.choice([0, 1, 5, 60, 150, 199, 200]))
+        if u % 7 == 0:
+            ranks = list(range(1, len(ranks) + 1))                     # the best ones, without a gap
+        excluded += [(u, mid[r]) for r in ranks] + [(u, 5000)]          # and an item that is not ranked
+    got = backfill(spark.createDataFrame(needs, "uid long, need int, base int"),
+                   spark.createDataFrame(excluded + excluded[:50], "uid long, mid long").repartition(3),
+                   spark.createDataFrame(ranked, "mid long, rank long"), 50, chunk=chunk, first=first).collect()
+    want = []
+    for u, need, base in needs:
+        gone = {m for v, m in excluded if v == u}
+        free = [mid[r] for r in range(1, 201) if mid[r] not in gone][:need]
+        want += [(u, base + i, m) for i, m in enumerate(free)]
+    assert sorted((r["uid"], r["pos"], r["mid"]) for r in got) == sorted(want)
+
+
+def test_backfill_has_no_hot_join_on_the_first_ranks(spark):
+    needs = spark.range(50).select(F.col("id").alias("uid"), F.lit(50).alias("need"), F.lit(0).alias("base"))
+    ranked = spark.range(1, 9001).select(F.col("id").alias("mid"), F.col("id").alias("rank"))
+    plan = backfill(needs, spark.createDataFrame([], "uid long, mid long"), ranked, 50)
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in text and "Window" not in text
+    assert plan.count() == 2500
+
+
+def test_smallest_is_exact_at_any_partitioning(spark):
+    rows = spark.range(5000).select((F.col("id") * 7919).alias("id"))
+    hashes = sorted((int(hashlib.md5(str(i * 7919).encode()).hexdigest()[:13], 16), i * 7919) for i in range(5000))
+    for n in (0, 1, 17, 3750, 4999, 5000, 6000):
+        want = sorted(i for _, i in hashes[:n])
+        for parts, passes in ((1, 2), (7, 1), (13, 3)):
+            table = rows.repartition(parts)
+            assert sorted(r["id"] for r in table.where(smallest(table, "id", n, passes)).collect()) == want
+
+
+def test_permutation_is_one_and_uniform_over_seeds():
+    for size in (1, 2, 3, 10, 257, 1000):
+        assert sorted(permuted(k, size, 3) for k in range(size)) == list(range(size))
+    first = Counter(permuted(0, 10, seed) for seed in range(5000))
+    assert set(first) == set(range(10)) and all(350 < n < 650 for n in first.values())
+    with pytest.raises(ValueError):
+        permuted(5, 5)
