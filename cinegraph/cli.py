@@ -34,7 +34,8 @@ def etl(spark: SparkSession, movies: str, ratings: str, header: bool = True, str
     ``arrays`` publishes the dimensions and users in the original schema instead, one
     row with the array of all its movies each: a genre of a third of all movies is then
     one row, so it is for small catalogs only."""
-    cat = cg.build_catalog(fl.read_movie_csv(spark, movies, header=header))
+    raw, bad_movies = fl.read_movie_csv(spark, movies, header=header)
+    cat = cg.build_catalog(raw)
     rows, bad = fl.read_rating_csv(spark, ratings, header=header)
     inter = it.build_interactions(rows, cat.movie, strict=strict)
     out = tb.publish_all({"movie": cg.movie_table(cat), "rating": inter.rating})
@@ -48,6 +49,7 @@ def etl(spark: SparkSession, movies: str, ratings: str, header: bool = True, str
     tb.publish(it.user_rows(inter, cat.movie), "user_movies", key="id")
     tb.publish(cat.rejects.drop("row_ord"), "movie_rejects", key=None)
     tb.publish(inter.rejects.drop("row_ord"), "rating_rejects", key=None)
+    tb.publish(bad_movies.drop("row_ord"), "movie_malformed", key=None)
     tb.publish(bad.drop("row_ord"), "rating_malformed", key=None)
     return out
 

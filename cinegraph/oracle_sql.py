@@ -330,3 +330,18 @@ SELECT p_partkey AS id, array_to_string(regexp_extract_all(
   CAST(p_partkey AS VARCHAR) || ''', ''casts'': [''徐峥'', ''周-杰·伦'']}',
   '\d\.\d|[\p{L}\p{N}_]+(?:[ ，\-：·！。？()][\p{L}\p{N}_]*)*'), '|') AS tokens
 FROM part"""
+ORACLE["csv_malformed"] = """
+WITH movies AS (
+  SELECT p_partkey % 20 AS k, p_type || ',A|B,D1,' || p_brand || ',T,' ||
+         CASE WHEN p_partkey % 20 = 3 THEN 'n/a' ELSE CAST(p_partkey % 10 AS VARCHAR) END || ',' || p_partkey AS line, p_type
+  FROM part),
+ratings AS (
+  SELECT o_orderkey % 50 AS k, CASE WHEN o_orderkey % 50 = 1 THEN '7.5' ELSE CAST(o_orderkey % 10 AS VARCHAR) END || ',' ||
+         o_custkey || ',' || CASE WHEN o_orderkey % 50 = 2 THEN 'yesterday' ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END
+         || ',' || o_custkey || ',' || o_orderkey AS line
+  FROM orders)
+SELECT 'movie' AS kind, CASE k WHEN 7 THEN line || ',more' WHEN 11 THEN p_type ELSE line END AS line, 1 AS n
+FROM movies WHERE k IN (3, 7, 11)
+UNION ALL SELECT 'movie', 'good', count(*) FROM movies WHERE k NOT IN (3, 7, 11)
+UNION ALL SELECT 'rating', line, 1 FROM ratings WHERE k IN (1, 2)
+UNION ALL SELECT 'rating', 'good', count(*) FROM ratings WHERE k NOT IN (1, 2)"""

@@ -7,7 +7,9 @@ depend on how an engine renders arrays.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -364,36 +366,43 @@ def q_libsvm_roundtrip(spark, sf_dir):
 CHECK_DB = "cinegraph_check"
 
 
-def _published(spark: SparkSession, name: str) -> str:
+@contextmanager
+def _published(spark: SparkSession, name: str):
+    """The name of a table of its own, dropped at the end: what is returned from it must be
+    written by then."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {CHECK_DB}")
-    return f"{CHECK_DB}.{name}"
+    table = f"{CHECK_DB}.{name}_{uuid.uuid4().hex}"
+    try:
+        yield table
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
 @query("published_movies")
 def q_published_movies(spark, sf_dir):
     """K1/K2 + S4/S6: the movie table published, refreshed and scanned back."""
-    table = _published(spark, "movie")
-    tb.publish(cg.movie_table(fixture_catalog(spark, sf_dir)), table, schemas.MOVIE)
-    tb.refresh(spark, table)
-    return tb.scan(spark, table, "id", "name", "district", "rating")
+    with _published(spark, "movie") as table:
+        tb.publish(cg.movie_table(fixture_catalog(spark, sf_dir)), table, schemas.MOVIE)
+        tb.refresh(spark, table)
+        return materialize(tb.scan(spark, table, "id", "name", "district", "rating"), "published")
 
 
 @query("published_preview")
 def q_published_preview(spark, sf_dir):
     """The first 20 rows of a published table."""
-    table = _published(spark, "user_preview")
-    tb.publish(fixture_interactions(spark, sf_dir)[1].user, table)
-    return tb.preview(spark, table, 20)
+    with _published(spark, "user_preview") as table:
+        tb.publish(fixture_interactions(spark, sf_dir)[1].user, table)
+        return materialize(tb.preview(spark, table, 20), "published")
 
 
 @query("append_ratings")
 def q_append_ratings(spark, sf_dir):
     """K3, batch form: the event feed appended to the published ratings."""
-    table = _published(spark, "rating")
-    tb.publish(fixture_interactions(spark, sf_dir)[1].rating, table, schemas.RATING)
-    feed = dt.fx_event(spark, sf_dir).select("uid", "mid", "rating", F.col("ts").alias("time"))
-    tb.append_ratings(spark, table, feed)
-    return tb.scan(spark, table)
+    with _published(spark, "rating") as table:
+        tb.publish(fixture_interactions(spark, sf_dir)[1].rating, table, schemas.RATING)
+        feed = dt.fx_event(spark, sf_dir).select("uid", "mid", "rating", F.col("ts").alias("time"))
+        tb.append_ratings(spark, table, feed)
+        return materialize(tb.scan(spark, table), "published")
 
 
 @query("append_csv")
@@ -585,7 +594,7 @@ def q_catalog_from_csv(spark, sf_dir):
     path = scratch_path(spark, "movie-csv")
     raw.orderBy("row_ord").drop("row_ord").select(*[f.name for f in fl.schemas.RAW_MOVIE_CSV.fields]) \
         .write.option("header", True).csv(path)
-    m = cg.movie_table(cg.build_catalog(fl.read_movie_csv(spark, path)))
+    m = cg.movie_table(cg.build_catalog(fl.read_movie_csv(spark, path)[0]))
     return m.select("id", "name", *[join_list(c, ",").alias(c) for c in ("genres", "actors")],
                     "district", *[join_list(c, ",").alias(c) for c in ("directors", "traits")], "rating")
 
@@ -603,5 +612,30 @@ def q_interactions_from_csv(spark, sf_dir):
     return it.build_interactions(rows, cat.movie).rating
 
 
+@query("csv_malformed")
+def q_csv_malformed(spark, sf_dir):
+    """S1 + S2: lines of both raw files that are cut off, have a cell too many or hold what
+    does not parse, kept aside with their text; good lines are counted."""
+    part, orders = dt.table(spark, sf_dir, "part"), dt.table(spark, sf_dir, "orders")
+    text = lambda *cells: F.concat_ws(",", *[c.cast("string") for c in cells])
+    key = F.col("p_partkey")
+    movie = text(F.col("p_type"), F.lit("A|B"), F.lit("D1"), F.col("p_brand"), F.lit("T"),
+                 F.when(key % 20 == 3, F.lit("n/a")).otherwise((key % 10).cast("string")), key)
+    movie = F.when(key % 20 == 7, F.concat(movie, F.lit(",more"))).when(key % 20 == 11, F.col("p_type")).otherwise(movie)
+    okey = F.col("o_orderkey")
+    rating = text(F.when(okey % 50 == 1, F.lit("7.5")).otherwise((okey % 10).cast("string")), F.col("o_custkey"),
+                  F.when(okey % 50 == 2, F.lit("yesterday")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")),
+                  F.col("o_custkey"), okey)
+    parts = []
+    for kind, lines, read in (("movie", part.select(movie.alias("line")), fl.read_movie_csv),
+                              ("rating", orders.select(rating.alias("line")), fl.read_rating_csv)):
+        path = scratch_path(spark, f"{kind}-lines")
+        lines.write.text(path)
+        rows, bad = read(spark, path, header=False)
+        parts += [bad.select(F.lit(kind).alias("kind"), F.col(fl.CORRUPT).alias("line"), F.lit(1).cast("long").alias("n")),
+                  rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(kind).alias("kind"), F.lit("good").alias("line"), "n")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_recall(spark, sf_dir)

@@ -107,3 +107,13 @@ def materialize(df, name: str = "stage"):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def measured(df, name: str = "stage"):
+    """``materialize``, with the bytes written."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(jpath).getLength()
+    return spark.read.schema(df.schema).parquet(path), size

@@ -25,27 +25,31 @@ def _with_row_ord(df: DataFrame) -> DataFrame:
                               F.monotonically_increasing_id().alias("i")).alias("row_ord"), "*")
 
 
-def read_movie_csv(spark: SparkSession, path: str, header: bool = True, sep: str = ",") -> DataFrame:
-    """Raw movie rows; the column names override any header (the header line,
-    when present, is skipped)."""
-    df = spark.read.schema(schemas.RAW_MOVIE_CSV).option("header", header).option("sep", sep).csv(path)
-    return _with_row_ord(df)
+def _checked_csv(spark: SparkSession, path: str, fields: T.StructType, **options) -> tuple[DataFrame, DataFrame]:
+    """(rows, malformed lines): lines with another number of cells than the schema, or a cell
+    that does not parse, are kept aside with their text (PERMISSIVE mode + corrupt-record
+    column).  The parse is staged once as parquet in the shared checkpoint folder: both
+    outputs read it, and Spark does not allow queries on the corrupt column of a raw scan."""
+    # a new schema: StructType.add would change the shared constant in place
+    schema = T.StructType(fields.fields + [T.StructField(CORRUPT, T.StringType())])
+    reader = (spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+              .options(**options))
+    df = materialize(_with_row_ord(reader.csv(path)), "csv-parsed")
+    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT), df.where(F.col(CORRUPT).isNotNull())
+
+
+def read_movie_csv(spark: SparkSession, path: str, header: bool = True,
+                   sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """Raw movie rows -> (rows, malformed rows); the column names override any header
+    (the header line, when present, is skipped)."""
+    return _checked_csv(spark, path, schemas.RAW_MOVIE_CSV, header=header, sep=sep)
 
 
 def read_rating_csv(spark: SparkSession, path: str, header: bool = True,
                     time_format: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """S2 + X4: raw rating rows with parsed timestamps -> (rows, malformed rows).
-    Malformed lines are kept aside (PERMISSIVE mode + corrupt-record column).  The
-    parse is staged once as parquet in the shared checkpoint folder: both outputs
-    read it, and Spark does not allow queries on the corrupt column of a raw scan."""
-    # a new schema: StructType.add would change the shared constant in place
-    schema = T.StructType(schemas.RAW_RATING_CSV.fields + [T.StructField(CORRUPT, T.StringType())])
-    reader = (spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE")
-                   .option("columnNameOfCorruptRecord", CORRUPT))
-    if time_format:
-        reader = reader.option("timestampNTZFormat", time_format)
-    df = materialize(_with_row_ord(reader.csv(path)), "rating-csv-parsed")
-    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT), df.where(F.col(CORRUPT).isNotNull())
+    """S2 + X4: raw rating rows with parsed timestamps -> (rows, malformed rows)."""
+    formats = {"timestampNTZFormat": time_format} if time_format else {}
+    return _checked_csv(spark, path, schemas.RAW_RATING_CSV, header=header, **formats)
 
 
 def normalise_crawl(responses: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..operators.ids import dense_index
+from ..session import measured
 
 
 def use_database(spark: SparkSession, name: str) -> None:
@@ -21,16 +22,22 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+#: bytes of a published file, about
+FILE_BYTES = 256 << 20
+
+
 def publish(df: DataFrame, table: str, schema: T.StructType | None = None, key: str | None = "id",
-            num_files: int | None = None) -> DataFrame:
+            num_files: int | None = None, file_bytes: int = FILE_BYTES) -> DataFrame:
     """K1: full-refresh publish.  Rows are range-partitioned and sorted on ``key`` so
     each file holds a disjoint id range and point/range lookups prune row groups
-    by their statistics.  Returns the table as read back."""
+    by their statistics.  The rows are written once before (the range bounds are sampled
+    from there, not from the plan), which tells their size and so the number of files.
+    Returns the table as read back."""
     spark = df.sparkSession
     out = conform(df, schema) if schema is not None else df
     if key:
-        n = num_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        out = out.repartitionByRange(n, key).sortWithinPartitions(key)
+        out, size = measured(out, "publish")
+        out = out.repartitionByRange(num_files or max(1, -(-size // file_bytes)), key).sortWithinPartitions(key)
     out.write.mode("overwrite").format("parquet").saveAsTable(table)
     return spark.table(table)
 

@@ -41,7 +41,7 @@ def test_movie_csv_order_and_header(spark):
     rows = [("g", "a|b", "d", "x", "t", 1.0, f"m{i}") for i in range(50)]
     df = spark.createDataFrame(rows, fl.schemas.RAW_MOVIE_CSV)
     df.coalesce(1).write.option("header", True).csv(path)
-    back = fl.read_movie_csv(spark, path).orderBy("row_ord").collect()
+    back = fl.read_movie_csv(spark, path)[0].orderBy("row_ord").collect()
     assert [r["name"] for r in back] == [f"m{i}" for i in range(50)]
 
 
