@@ -294,6 +294,13 @@ def q_fm_scores(spark, sf_dir):
     return model.transform(test).select("id", "uid", "mid", "rating", "prediction")
 
 
+@query("fm_mcmc_scores")
+def q_fm_mcmc_scores(spark, sf_dir):
+    """M6: the Bayesian trainer, scores for the warm test set averaged over its draws."""
+    _, _, train, test = fixture_split(spark, sf_dir)
+    return md.fm_mcmc_scores(train, test, rank=8, sweeps=12, burn_in=4).select("id", "uid", "mid", "rating", "prediction")
+
+
 @query("fold_in")
 def q_fold_in(spark, sf_dir):
     """The latest ratings folded into fixed factors of two numbers per id.  Every
