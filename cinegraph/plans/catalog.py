@@ -124,6 +124,13 @@ def build_catalog(raw: DataFrame, sep: str = "|") -> Catalog:
     )
 
 
+def movie_names(raw: DataFrame) -> DataFrame:
+    """(id, name, rating) of every movie of raw(row_ord, name, rating), with the ids that
+    ``build_catalog`` gives: all that resolving ratings by movie name needs."""
+    first = first_per_key(raw.where(F.col("name").isNotNull()), ["name"], ["row_ord"], ["row_ord", "rating"])
+    return dense_index(first, ["row_ord"], out="id").select(F.col("id").cast("long").alias("id"), "name", "rating")
+
+
 def movie_table(cat: Catalog) -> DataFrame:
     """The published ``movie`` schema: id, name, genres, actors, district, directors,
     traits, rating.  Genres/traits ascending id; actors/directors in list order.

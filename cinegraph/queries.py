@@ -109,8 +109,9 @@ for _dim in cg.DIMENSIONS:
 
 
 def fixture_interactions(spark: SparkSession, sf_dir: str, cat: cg.Catalog | None = None):
-    cat = cat or fixture_catalog(spark, sf_dir)
-    return cat, it.build_interactions(dt.fx_rating_raw(spark, sf_dir), cat.movie)
+    """(movies (id, name, rating), interactions); without a catalog only movies' names are built."""
+    movie = cat.movie if cat else materialize(cg.movie_names(dt.fx_movie_names(spark, sf_dir)), "movie-names")
+    return movie, it.build_interactions(dt.fx_rating_raw(spark, sf_dir), movie)
 
 
 @query("interactions_rating")
@@ -120,8 +121,8 @@ def q_interactions_rating(spark, sf_dir):
 
 @query("interactions_user")
 def q_interactions_user(spark, sf_dir):
-    cat, inter = fixture_interactions(spark, sf_dir)
-    return it.user_rows(inter, cat.movie)
+    movie, inter = fixture_interactions(spark, sf_dir)
+    return it.user_rows(inter, movie)
 
 
 @query("rating_rejects")
@@ -133,7 +134,8 @@ def q_rating_rejects(spark, sf_dir):
 @query("etl_summary")
 def q_etl_summary(spark, sf_dir):
     """The ETL's closing counts, one row per entity (plus raw CSV rows)."""
-    cat, inter = fixture_interactions(spark, sf_dir)
+    cat = fixture_catalog(spark, sf_dir)
+    _, inter = fixture_interactions(spark, sf_dir, cat)
     parts = [("movies", cat.movie), ("directors", cat.names["director"]), ("actors", cat.names["actor"]),
              ("users", inter.user), ("ratings", inter.rating), ("csv_rows", dt.fx_rating_raw(spark, sf_dir))]
     frames = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("entity"), "n") for k, df in parts]
@@ -199,8 +201,8 @@ def q_person_page_director(spark, sf_dir):
 
 @query("user_history")
 def q_user_history(spark, sf_dir):
-    cat, inter = fixture_interactions(spark, sf_dir)
-    return sv.user_history(inter.rating, inter.user, cat.movie)
+    movie, inter = fixture_interactions(spark, sf_dir)
+    return sv.user_history(inter.rating, inter.user, movie)
 
 
 @query("page_movies")
@@ -236,9 +238,9 @@ def q_random_users(spark, sf_dir):
 
 
 def fixture_split(spark: SparkSession, sf_dir: str):
-    cat, inter = fixture_interactions(spark, sf_dir)
+    movie, inter = fixture_interactions(spark, sf_dir)
     train, test = md.split(inter.rating)
-    return cat, inter, train, md.warm_test(train, test)
+    return movie, inter, train, md.warm_test(train, test)
 
 
 @query("split_train")

@@ -105,27 +105,40 @@ def fx_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return actors.unionByName(directors)
 
 
+def fx_movie_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The names and ratings of ``fx_movie_raw``, without its other columns."""
+    return _movie_rows(spark, sf_dir).select(*_movie_keys(), _movie_name(F.col("p_name"), F.col("p_partkey")).alias("name"))
+
+
+def _movie_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    flags = table(spark, sf_dir, "lineitem").select("l_partkey", "l_returnflag", "l_linestatus").distinct()
+    return p.join(flags, flags.l_partkey == p.p_partkey)
+
+
+def _movie_keys() -> list[Column]:
+    raised = F.when(F.col("l_linestatus") == "O", F.lit(0.5)).otherwise(F.lit(0.0))
+    return [F.struct("p_partkey", "l_returnflag", "l_linestatus").alias("row_ord"),
+            (_item_score(F.col("p_partkey")) + raised).alias("rating")]
+
+
 def fx_movie_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Redundant raw movie rows for the catalog build (several rows per movie, the
     rating differs between them).  Columns as in the raw movie CSV plus ``row_ord``
     (struct ordering = file order)."""
-    p = table(spark, sf_dir, "part")
-    li = table(spark, sf_dir, "lineitem")
-    flags = li.select("l_partkey", "l_returnflag", "l_linestatus").distinct()
     # the raw format carries a movie's whole cast in one '|'-joined cell
     casts = credit_names(spark, sf_dir).groupBy("a_mid").agg(
         F.array_join(F.array_sort(F.collect_list("actor_name")), "|").alias("actor"))
-    rows = p.join(flags, flags.l_partkey == p.p_partkey).join(
-        casts, F.col("a_mid") == F.col("p_partkey"), "left")
+    rows = _movie_rows(spark, sf_dir).join(casts, F.col("a_mid") == F.col("p_partkey"), "left")
+    row_ord, rating = _movie_keys()
     return rows.select(
-        F.struct("p_partkey", "l_returnflag", "l_linestatus").alias("row_ord"),
+        row_ord,
         F.concat(F.col("p_type"), F.lit("-"), F.col("l_linestatus")).alias("genre"),
         F.col("actor"),
         _district(F.col("p_size")).alias("district"),
         _director(F.col("p_brand"), F.col("p_size")).alias("director"),
         F.concat(F.lit("T"), F.col("l_returnflag")).alias("trait"),
-        (_item_score(F.col("p_partkey"))
-         + F.when(F.col("l_linestatus") == "O", F.lit(0.5)).otherwise(F.lit(0.0))).alias("rating"),
+        rating,
         _movie_name(F.col("p_name"), F.col("p_partkey")).alias("name"),
     )
 
