@@ -23,7 +23,8 @@ class Merger:
 
     def __init__(self, path: str, letters: dict[int, str]):
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+            file = json.load(f)
+        model, self.special = file["model"], [t["content"] for t in file.get("added_tokens") or []]
         vocab = model.get("vocab", {})
         plain = model.get("type") == "BPE" and not any(
             model.get(c) for c in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix",

@@ -16,11 +16,11 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 
-from .bpe import _LETTERS, encoder, special_strings
+from .bpe import _LETTERS, encoder
 from .bulk_bpe import Merger
 
 _LETTER, _DIGIT, _SPACE, _BLANK, _MARK, _ODD = range(6)
-_SLICE = 2_000_000         # bytes of texts handled at once
+_SLICE = 1_000_000         # bytes of texts handled at once
 
 _CLASS = np.full(256, _ODD, np.uint8)
 _CLASS[0x21:0x7F] = _MARK
@@ -88,12 +88,17 @@ class PreTokens:
     when it is full.  ``known`` pre-tokens are in it from the start, as one token each."""
 
     def __init__(self, path: str, most: int, known: Iterable[str] = ()):
-        self.whole = encoder(path, min(most, 100_000))
-        self.special = [s.encode() for s in special_strings(self.whole.tokenizer)]
+        self.path = path
         self.merger = Merger(path, _LETTERS)
+        self.special = [s.encode() for s in self.merger.special]
         self.most, self.known = most, [k.encode() for k in known]
         self._clear()
 
+    @property
+    def whole(self):
+        """The library's way, loaded when a text needs it."""
+        return encoder(self.path, min(self.most, 100_000))
+
     def _room(self, size: int) -> None:
         self.size, self.used = size, 0
         self.low, self.high = np.zeros(size, np.uint64), np.zeros(size, np.uint64)

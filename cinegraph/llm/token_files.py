@@ -34,6 +34,7 @@ def _encode(tokenizer: str, end_id: int, pieces: int):
                     [pa.array(np.full(hi - lo, part, np.int32)), b.column(0).slice(lo, hi - lo),
                      pa.array(at + ends - n - 1), pa.array(n + 1), lists], names=names)
                 at += int(ends[-1])
+            pa.default_memory_pool().release_unused()      # what this batch took goes back
     return run
 
 
@@ -60,7 +61,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, rows_p
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids) in the files' order of ids; ``start`` counts the ids
-    of all documents before."""
+    of all documents before.  One row per row written: null ids, empty texts and repeated
+    rows as ``write_tokens`` wrote them; an empty folder of files gives none."""
     rows = spark.read.orc(path)
     # one row per file, so the single window task is bounded by the number of files
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -71,13 +73,15 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
 
 def look_up(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
-    """The rows of some documents; the filter reaches the files' indexes and Bloom filters."""
+    """The rows of some documents; the filter reaches the files' indexes and Bloom filters.
+    A repeated id gives each of its rows; null ids and ids that were not written give none."""
     return spark.read.orc(path).where(F.col("doc_id").isin(list(doc_ids))).select("doc_id", "n_tokens", "ids")
 
 
 def with_checksums(tokens: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32): the ids reduced to an unsigned crc32 of their
-    little-endian unsigned 32-bit bytes; n_tokens is counted on the ids read."""
+    little-endian unsigned 32-bit bytes; n_tokens is counted on the ids read.  One row per
+    row, null ids and repeated rows included; no rows give none."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             lists = b.column(2)

@@ -163,7 +163,11 @@ def toxic_documents(docs: DataFrame, labels: DataFrame, train: Column, threshold
 
 def keep_clean(docs: DataFrame, labels: DataFrame, train: Column, threshold: float = 0.5,
                settings: Settings | None = None) -> DataFrame:
-    """The rows of ``docs`` scored below the threshold, with all their columns as they were."""
+    """The rows of ``docs`` scored below the threshold, with all their columns as they were.
+
+    Null and empty texts have the score of a text without features; null ids and repeated
+    rows are scored like any other; very long texts are scored whole; without training
+    rows, or for an empty table, nothing is rejected; other columns may be called anything."""
     mark = fresh(docs, "toxic_score")[0]
     scored = docs.withColumn(mark, scorer(docs, fit(docs, labels, train, settings), settings))
     return scored.where(F.col(mark) < threshold).drop(mark)
