@@ -18,6 +18,8 @@ from cinegraph.session import materialize, scratch_path
 PIECES = 400_000
 #: and smaller stripes, which a writer holds until they are full
 STRIPE_BYTES = 16 << 20
+#: rows that JVM and Python hand each other at once; a row carries all ids of a document
+ARROW_ROWS = "1000"
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,6 +53,7 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """The documents' token ids in ORC, read back: (doc_id, start, n_tokens, ids_crc32), one row
     per row: null and empty texts have the end id alone, null ids come last, repeated rows
     follow each other, other columns are not read; no documents give none."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     path = scratch_path(spark, "pipeline-token-files")
     token_files.write_tokens(docs, path, tokenizer_path(), END_ID, pieces=PIECES, stripe_bytes=STRIPE_BYTES)
     return token_files.with_checksums(token_files.read_tokens(spark, path))
