@@ -100,8 +100,8 @@ def test_empty_tables(spark, sf_dir, tmp_path):
 
 def test_queries_are_registered():
     names = set(entry.queries())
-    assert names >= set(queries.QUERIES) | {"pipeline"} and len(queries.QUERIES) == 10
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert names >= set(queries.QUERIES) | {"pipeline"} and len(queries.QUERIES) == 13
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_mixing_matches_sql(spark):

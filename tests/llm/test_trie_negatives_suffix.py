@@ -260,3 +260,18 @@ def test_levels_are_logarithmic_and_mark_both_sides():
         assert len(levels.levels) <= len(seen).bit_length()
     times = Counter(seen)
     assert levels.repeated.tolist() == [times[s] > 1 for s in seen]
+
+
+@pytest.mark.parametrize("name", ["op11_prefix_trie", "op12_hard_negatives"])
+def test_queries_match_sql(spark, name):
+    import duckdb
+
+    from cinegraph.llm.oracle import ORACLE
+    con = duckdb.connect()
+    for t in ("conversations", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf0.001/{t}.parquet')")
+    found = con.execute(ORACLE[name])
+    cols = [d[0] for d in found.description]
+    result = QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert set(result.columns) == set(cols)
+    assert sorted_rows(result.select(*cols).collect()) == sorted_rows(found.fetchall())
