@@ -105,3 +105,22 @@ def test_empty_stage1_can_exclude_rated(spark):
     lists = rc.recall(sv.latest_ratings(inter.rating), cat.movie, cat.people_bridge(), p)
     dan = [r["mid"] for r in lists.where("uid = 2").orderBy("pos").collect()]
     assert dan == [0, 2]
+
+
+def test_rejects_do_not_build_the_rating_table(spark):
+    """The tables of the interactions are built when asked for, and users come from the numbered
+    ratings: one table of all ratings is written."""
+    cat = cg.build_catalog(movie_raw(spark))
+    inter = it.build_interactions(rating_raw(spark), cat.movie)
+    assert _rows(inter.rejects, "name", "movie") == [("cy", "Unknown")]
+    assert "_numbered" not in vars(inter) and "rating" not in vars(inter)
+    assert _rows(inter.user, "id", "name") == [(0, "ann"), (1, "bob"), (2, "dan")]
+    assert "_numbered" in vars(inter) and "rating" not in vars(inter)
+
+
+def test_split_hashes_each_row_once(spark):
+    from cinegraph.plans import models as md
+    rows = spark.range(1000).selectExpr("id", "id % 9 AS uid", "id % 7 AS mid", "id % 10 + 1 AS rating")
+    train, test = md.split(rows)
+    assert train.count() == 750 and test.count() == 250 and train.columns == ["id", "uid", "mid", "rating"]
+    assert "md5" not in train._jdf.queryExecution().optimizedPlan().toString()

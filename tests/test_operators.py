@@ -113,3 +113,14 @@ def test_permutation_is_one_and_uniform_over_seeds():
     assert set(first) == set(range(10)) and all(350 < n < 650 for n in first.values())
     with pytest.raises(ValueError):
         permuted(5, 5)
+
+
+def test_grouped_dense_index_reads_its_rows_without_a_second_shuffle(spark):
+    # nulls, names that end in one partition and begin in another, one partition of one group
+    rows = [(None if i % 7 == 0 else "ab"[i % 2], float("nan") if i % 11 == 0 else 1.0, i) for i in range(500)]
+    df = spark.createDataFrame(rows, "g string, v double, k long")
+    got = dense_index(df, ["k"], out="ix", num_partitions=9, group=["g", "v"])
+    ref = df.withColumn("ix", F.row_number().over(Window.partitionBy("g", "v").orderBy("k")) - 1)
+    assert sorted(got.select("k", "ix").collect()) == sorted(ref.select("k", "ix").collect())
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Aggregate" not in plan
