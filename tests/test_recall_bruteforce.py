@@ -61,3 +61,33 @@ def test_recall_matches_python_loop(spark):
     assert got == expect
     # properties: lists hold distinct movies, at most 50, positions dense from 0
     assert all(len(v) == len(set(v)) <= 50 for v in got.values())
+
+
+def test_threshold_hop_leaves_out_only_what_cannot_matter(spark):
+    """One user, two prolific directors: later chunks are read up to the list's last movie
+    only, and the list equals the one of all related good movies."""
+    from pyspark.sql import functions as F
+
+    from cinegraph.plans import recall as rc
+    items = spark.range(400).select("id", (F.lit(9.9) - F.col("id") / 200).alias("rating"))
+    bridge = spark.range(400).select(F.col("id").alias("mid"), F.lit("d").alias("role"),
+                                     F.when(F.col("id") % 4 < 2, F.lit("x")).otherwise(F.lit("y")).alias("pid"))
+    latest = spark.createDataFrame([(1, 0, 9), (1, 2, 9), (1, 5, 2)], "uid long, mid long, rating long")
+    p = rc.RecallParams(size=13)
+    films = rc.good_films(items, bridge, p)
+    hop = rc.threshold_hop(latest, films, p)
+    assert hop.movies().count() == 16            # the first chunks; no later movie comes before the 13th
+    got = [r["mid"] for r in rc.stage1_of(hop, latest, p).orderBy("pos").collect()]
+    assert got == [m for m in range(400) if m not in (0, 2, 5)][:13]
+    # equal rows of the items are as many places of the list, as before
+    twice = rc.recall_stage1(latest, items.unionByName(items.where("id = 1")), bridge, p)
+    assert [r["mid"] for r in twice.orderBy("pos").collect()][:3] == [1, 1, 3]
+
+
+def test_person_of_one_chunk_leads_to_its_other_movies_only(spark):
+    from cinegraph.plans import recall as rc
+    items = spark.createDataFrame([(1, 9.0), (2, 8.0), (3, 2.0)], "id long, rating double")
+    bridge = spark.createDataFrame([(1, "a", "p"), (2, "a", "p"), (3, "a", "p"), (1, "a", "alone")],
+                                   "mid long, role string, pid string")
+    near = rc.good_films(items, bridge).near
+    assert sorted((r["mid"], r["film"]["mid"]) for r in near.collect()) == [(1, 2), (2, 1), (3, 1), (3, 2)]
