@@ -91,3 +91,12 @@ def test_person_of_one_chunk_leads_to_its_other_movies_only(spark):
                                    "mid long, role string, pid string")
     near = rc.good_films(items, bridge).near
     assert sorted((r["mid"], r["film"]["mid"]) for r in near.collect()) == [(1, 2), (2, 1), (3, 1), (3, 2)]
+
+
+def test_ratings_of_no_user_lead_to_the_global_list_only(spark):
+    from cinegraph.plans import recall as rc
+    items = spark.createDataFrame([(1, 9.0), (2, 8.0), (3, 2.0)], "id long, rating double")
+    bridge = spark.createDataFrame([(1, "a", "p"), (2, "a", "p"), (3, "a", "p")], "mid long, role string, pid string")
+    latest = spark.createDataFrame([(None, 2, 9), (7, 2, 9)], "uid long, mid long, rating long")
+    got = sorted(((r["uid"], r["pos"], r["mid"]) for r in rc.recall(latest, items, bridge).collect()), key=str)
+    assert got == sorted([(None, 0, 1), (None, 1, 2), (None, 2, 3), (7, 0, 1)], key=str)
