@@ -47,7 +47,7 @@ def with_occurrence(rows: DataFrame, key: str, out: str) -> DataFrame:
         return rows.withColumn(out, F.lit(0).cast("long"))
     single = rows.join(repeated, F.col(key) == F.col(of), "left_anti").withColumn(out, F.lit(0).cast("long"))
     again = rows.join(repeated, F.col(key) == F.col(of), "left_semi").withColumn(place, F.monotonically_increasing_id())
-    return single.unionByName(dense_index(again, [place], out=out, group=[key]).drop(place))
+    return single.unionByName(dense_index(again, [place], out=out, group=[key], native=True).drop(place))
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0) -> DataFrame:

@@ -124,3 +124,5 @@ def test_grouped_dense_index_reads_its_rows_without_a_second_shuffle(spark):
     assert sorted(got.select("k", "ix").collect()) == sorted(ref.select("k", "ix").collect())
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and "Aggregate" not in plan
+    native = dense_index(df, ["k"], out="ix", num_partitions=9, group=["g", "v"], native=True)
+    assert sorted(native.select("k", "ix").collect()) == sorted(ref.select("k", "ix").collect())
