@@ -1,7 +1,12 @@
 """Jobs of many steps keep the disk of one step, not of all."""
 
+import os
+
+import pytest
+
+from cinegraph.plans import factorization as fz
 from cinegraph.plans import models as md
-from cinegraph.session import materialize
+from cinegraph.session import checkpoint_dir, materialize
 
 
 def block_files(spark) -> int:
@@ -29,3 +34,22 @@ def test_als_lets_the_shuffles_of_earlier_sweeps_go(spark):
         md.fit_als(rated, 2, sweeps, 0.1)
         left.append(block_files(spark) - before)
     assert left[1] <= left[0] + 8
+
+
+def scratch_folders(spark) -> int:
+    base = checkpoint_dir(spark).removeprefix("file:")
+    return len(os.listdir(f"{base}/cinegraph")) if os.path.isdir(f"{base}/cinegraph") else 0
+
+
+def test_factorization_keeps_one_set_of_parameters(spark):
+    """The scratch folders left do not grow with the sweeps, nor the result with the blocks."""
+    rows = spark.createDataFrame([(i, float(i * 5 % 9), [i % 6, 6 + i * 7 % 5], [1.0, 1.0]) for i in range(60)],
+                                 "row long, y double, idx array<long>, val array<double>")
+    left, found = [], []
+    for epochs, block_rows in ((1, 500_000), (2, 500_000), (2, 4)):
+        before = scratch_folders(spark)
+        model = fz.fit(rows, 2, epochs, 0.1, (0, 6), block_rows=block_rows)
+        left.append(scratch_folders(spark) - before)
+        found.append({r["feature"]: r["theta"] for r in model.params.collect()})
+    assert len(set(left)) == 1
+    assert found[1].keys() == found[2].keys() and all(found[1][j] == pytest.approx(found[2][j], abs=1e-9) for j in found[1])
