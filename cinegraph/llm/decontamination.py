@@ -11,6 +11,9 @@ place, one original value must always have been replaced by one and the same val
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,52 +27,57 @@ UNITS = ("kg g mg lb lbs oz km m cm mm mi ft in l ml s sec secs second seconds m
          "dollars euro euros cent cents usd eur percent mph kmh").split()
 
 _NAME, _UNIT = "\u0001", "\u0002"
-_SPACE = r"[\s\p{Z}\x1c-\x1f\x85]"
+_SPACE = r"[[^!-~]&&[\s\p{Z}\x1c-\x1f\x85]]"     # most characters fail the first part
 _NUMBER = r"\p{N}++(?:[.,]\p{N}++)*+"
 _TOKEN = rf"[{_NAME}{_UNIT}]?(?:{_NUMBER}(?!\p{{L}})|[\p{{L}}\p{{N}}]+)"
 
 
 def tokens(text: Column) -> Column:
     """The words of a text in order, names and units marked by their first character."""
-    text = F.translate(F.coalesce(text, F.lit("")), _NAME + _UNIT, "  ")
-    text = F.regexp_replace(text, rf" {_SPACE}+|[{_SPACE}&&[^ ]]{_SPACE}*", " ")
-    units = F.regexp_replace(text, rf"(?<=\p{{N}} ?)(?=(?i:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}]))", _UNIT)
+    text = F.coalesce(text, F.lit(""))
+    text = F.when(text.contains(_NAME) | text.contains(_UNIT), F.translate(text, _NAME + _UNIT, "  ")).otherwise(text)
+    # the patterns begin with what is rare, a digit or a white space, and look around from there
+    units = F.regexp_replace(text, rf"\p{{N}}(?:(?<=\p{{N}}){_SPACE}++)?+(?=(?i:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}]))",
+                             "$0" + _UNIT)
     # a capitalised word after a word or a comma (not after a sentence's end)
-    named = F.regexp_replace(units, r"(?<=[\p{L}\p{N},;] )(?=\p{Lu}\p{Ll})", _NAME)
+    named = F.regexp_replace(units, rf"{_SPACE}(?<=[\p{{L}}\p{{N}},;]{_SPACE}){_SPACE}*+(?=\p{{Lu}}\p{{Ll}})", " " + _NAME)
     return F.regexp_extract_all(named, F.lit(_TOKEN), F.lit(0))
 
 
+def _latin(token: Column) -> Column:
+    """Whether a token begins with A-Z or a-z: neither marked nor a number."""
+    return (token >= "A") & (token < "{")
+
+
 def canonical(token: Column) -> Column:
     """A token's template form: itself in lower case, or its type."""
-    first = F.substring(token, 1, 1)
-    return (F.when(first == _NAME, F.lit("<name>")).when(first == _UNIT, F.lit("<unit>"))
-            .when(first.rlike(r"\p{N}") & token.rlike(f"^{_NUMBER}$"), F.lit("<number>")).otherwise(F.lower(token)))
+    return (F.when(_latin(token), F.lower(token)).when(token.startswith(_NAME), F.lit("<name>"))
+            .when(token.startswith(_UNIT), F.lit("<unit>")).when(token.rlike(f"^{_NUMBER}$"), F.lit("<number>"))
+            .otherwise(F.lower(token)))
 
 
 def plain(token: Column) -> Column:
     """A token without its mark, in lower case."""
-    return F.translate(F.lower(token), _NAME + _UNIT, "")
+    return F.lower(F.when(_latin(token), token).otherwise(F.ltrim(token, F.lit(_NAME + _UNIT))))
 
 
 def _windows(rows: DataFrame, width: int, keep: list[str]) -> DataFrame:
     """``keep`` columns, pos, window hash and literal (0: template, 1: plain words) of every
     window of column ``words``; the plain form only where it differs."""
-    hashed = rows.select(*keep, F.transform("words", lambda t: F.xxhash64(canonical(t))).alias("codes"),
-                         F.transform("words", lambda t: F.xxhash64(plain(t))).alias("plains"))
-
-    def every(codes: str) -> Column:
-        return F.when(F.size(codes) >= width, F.transform(
-            F.sequence(F.lit(1), F.size(codes) - (width - 1)),
-            lambda i: F.xxhash64(*[F.element_at(codes, i + k) for k in range(width)])))
-    both = hashed.select(*keep, every("codes").alias("every"), every("plains").alias("whole"))
-    forms = both.select(*keep, F.size("every").alias("n"), F.concat(
-        "every", F.zip_with("whole", "every", lambda w, e: F.when(w != e, w))).alias("forms"))
+    hashed = rows.withColumn("plains", F.transform("words", lambda t: F.xxhash64(plain(t))))
+    codes = F.zip_with("words", "plains", lambda t, p: F.when(_latin(t), p).otherwise(F.xxhash64(canonical(t))))
+    # templates, then plain words: a window is hashed after the explode, in generated code
+    forms = hashed.select(*keep, F.size("words").alias("n"), F.concat(codes, "plains").alias("forms"))
+    at, n = F.col("at"), F.col("n")
+    literal = at >= n
+    pos = F.when(literal, at - n).otherwise(at)
+    window = [F.get("forms", at + k) for k in range(width)]
+    differs = reduce(or_, (w != F.get("forms", at + k - n) for k, w in enumerate(window)))
     # outer: an inner explode makes Catalyst filter on the array's size below the
-    # projections, where it would compute ``codes`` again for every window
-    return (forms.select(*keep, "n", F.posexplode_outer("forms").alias("at", "window"))
-            .where(F.col("window").isNotNull())
-            .select(*keep, (F.col("at") % F.col("n")).alias("pos"), "window",
-                    (F.col("at") >= F.col("n")).cast("int").alias("literal")))
+    # projections, where it would compute the hashes again
+    return (forms.select(*keep, "n", "forms", F.posexplode_outer("forms").alias("at", "code"))
+            .where((pos <= n - width) & (~literal | differs))
+            .select(*keep, pos.alias("pos"), F.xxhash64(*window).alias("window"), literal.cast("int").alias("literal")))
 
 
 def _row_hash() -> Column:

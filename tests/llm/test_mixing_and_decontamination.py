@@ -126,3 +126,54 @@ def test_decontamination_equals_brute_force(spark, seed):
     assert (1, hamlet + 1) not in found                                       # one word repeated is no item
     kept = {r["doc_id"] for r in dc.remove_contaminated(docs, bench).collect()}
     assert kept == set(there) - {d for d, _ in want}
+
+
+def plain_rule(text):
+    """The (template, plain) words of a text, by one pattern after another: marks to spaces, white space collapsed, units, names."""
+    space, number = r"[\s\p{Z}\x1c-\x1f\x85]", r"\p{N}++(?:[.,]\p{N}++)*+"
+    text = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), "\1\2", "  "), rf"{space}+", " ")
+    text = F.regexp_replace(text, rf"(?<=\p{{N}} ?)(?=(?i:{'|'.join(dc.UNITS)})(?![\p{{L}}\p{{N}}]))", "\2")
+    text = F.regexp_replace(text, r"(?<=[\p{L}\p{N},;] )(?=\p{Lu}\p{Ll})", "\1")
+    words = F.regexp_extract_all(text, F.lit("[\1\2]?" + rf"(?:{number}(?!\p{{L}})|[\p{{L}}\p{{N}}]+)"), F.lit(0))
+    return F.transform(words, lambda t: F.struct(
+        F.when(t.startswith("\1"), "<name>").when(t.startswith("\2"), "<unit>").when(t.rlike(f"^{number}$"), "<number>")
+        .otherwise(F.lower(t)), F.translate(F.lower(t), "\1\2", "")))
+
+
+def test_words_and_windows_of_odd_texts(spark):
+    rng = random.Random(3)
+    bits = ["5", "12", "3.5", "1,000", "kg", "Km", "hours", "and", "x", "Anna", "BOB", "Éva", "Москва", "слово", ",", ";", ".",
+            "\t", "\n", "  ", "\u00a0", "\u3000", "\x1c", "\x85", "\x01", "\x02", "5kg", "x5", "\U0001d7d3", "\u0663", "\U0001d400",
+            "\u0130s", "A\u03a3", "\u6f22", "'"]
+    texts = ["".join(rng.choice(bits) + " " * (rng.random() < 0.7) for _ in range(rng.randint(0, 20))) for _ in range(1500)]
+    table = spark.createDataFrame([*enumerate(texts), (5000, None)], "doc_id long, text string")
+    words = table.select("doc_id", "text", dc.tokens(F.col("text")).alias("words")).repartition(4)
+    forms = words.select("doc_id", "text", F.transform("words", dc.canonical).alias("c"), F.transform("words", dc.plain).alias("p"),
+                         plain_rule(F.col("text")).alias("rule"))
+    parsed = {}
+    for r in forms.collect():
+        parsed[r["doc_id"]] = list(zip(r["c"], r["p"], strict=True))
+        assert parsed[r["doc_id"]] == [tuple(x) for x in r["rule"]], repr(r["text"])
+    hashes = {}
+    for width in (1, 3, 5):
+        rows = [(r["doc_id"], r["pos"], r["literal"], r["window"]) for r in dc._windows(words, width, ["doc_id"]).collect()]
+        want = {}
+        for d, there in parsed.items():
+            for pos in range(len(there) - width + 1):
+                template, literal = zip(*there[pos:pos + width], strict=True)
+                want[d, pos, 0] = template
+                if template != literal:
+                    want[d, pos, 1] = literal
+        assert len(rows) == len(want) and {r[:3] for r in rows} == set(want)
+        for *key, h in rows:                                     # one hash a window, another for each other one
+            assert hashes.setdefault(want[tuple(key)], h) == h
+    assert len(set(hashes.values())) == len(hashes) > 10000
+
+
+def test_windows_are_hashed_in_generated_code(spark):
+    docs = spark.createDataFrame([(1, "one two three four five six")], "doc_id long, text string")
+    windows = dc._windows(docs.select("doc_id", dc.tokens(F.col("text")).alias("words")), 5, ["doc_id"])
+    plan = windows._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")).splitlines()
+    hashing = [line for line in plan if "AS window" in line]
+    assert len(hashing) == 1 and "*(" in hashing[0] and "lambda" not in hashing[0]
