@@ -4,12 +4,13 @@ File order matters to the catalog build (first row wins, first-seen ids).  CSV
 rows carry no line number, so ``row_ord`` is read in the scan stage, before any
 shuffle: (file name, split start, position in the task).  A task reads its
 splits in order and ``monotonically_increasing_id`` increases inside a task, so
-the triple orders rows as in the files (files by name).
+the triple orders rows as in the files (files by name).  Once the rows are staged the name
+becomes the file's number, so that shuffles need not carry it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +26,15 @@ def _with_row_ord(df: DataFrame) -> DataFrame:
                               F.monotonically_increasing_id().alias("i")).alias("row_ord"), "*")
 
 
+def _file_numbers(staged: DataFrame) -> DataFrame:
+    """``staged`` with files' numbers (in order of their names) for their names in ``row_ord``."""
+    # one row per file
+    files = staged.select(F.col("row_ord.f").alias("_f")).distinct().withColumn(
+        "_n", F.row_number().over(Window.orderBy("_f")).cast("long"))
+    named = staged.join(F.broadcast(materialize(files, "csv-files")), F.col("row_ord.f") == F.col("_f"))
+    return named.withColumn("row_ord", F.struct(F.col("_n").alias("f"), F.col("row_ord.b").alias("b"), F.col("row_ord.i").alias("i"))).drop("_f", "_n")
+
+
 def _checked_csv(spark: SparkSession, path: str, fields: T.StructType, **options) -> tuple[DataFrame, DataFrame]:
     """(rows, malformed lines): lines with another number of cells than the schema, or a cell
     that does not parse, are kept aside with their text (PERMISSIVE mode + corrupt-record
@@ -34,7 +44,7 @@ def _checked_csv(spark: SparkSession, path: str, fields: T.StructType, **options
     schema = T.StructType(fields.fields + [T.StructField(CORRUPT, T.StringType())])
     reader = (spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
               .options(**options))
-    df = materialize(_with_row_ord(reader.csv(path)), "csv-parsed")
+    df = _file_numbers(materialize(_with_row_ord(reader.csv(path)), "csv-parsed"))
     return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT), df.where(F.col(CORRUPT).isNotNull())
 
 
